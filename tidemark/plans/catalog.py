@@ -138,3 +138,75 @@ def q_distinct_symbols(spark, sf_dir):
 @query("sort_symbol_date")
 def q_sort_symbol_date(spark, sf_dir):
     return A.sort_symbol_date(enriched(spark, sf_dir))
+
+
+# --- profile ------------------------------------------------------------------
+from tidemark.operators import profile as P  # noqa: E402
+from tidemark.schemas import RAW_BAR_COLUMNS  # noqa: E402
+
+
+def profile_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned bars in the raw-file layout (prices and volume as DOUBLE)."""
+    b = bars(spark, sf_dir)
+    return b.select(b.date.alias("Date"), b.close.alias("Close"), b.high.alias("High"), b.low.alias("Low"),
+                    b.open.alias("Open"), b.volume.cast("double").alias("Volume"), "symbol")
+
+
+def _profile_wide(spark, sf_dir):
+    return P.profile_wide(profile_input(spark, sf_dir), "symbol", P.resolve_date_column(profile_input(spark, sf_dir)))
+
+
+@query("profile_counts")
+def q_profile_counts(spark, sf_dir):
+    return P.profile_counts(_profile_wide(spark, sf_dir), "symbol")
+
+
+@query("profile_nulls")
+def q_profile_nulls(spark, sf_dir):
+    return P.profile_nulls(_profile_wide(spark, sf_dir), "symbol", RAW_BAR_COLUMNS)
+
+
+@query("profile_describe")
+def q_profile_describe(spark, sf_dir):
+    df = profile_input(spark, sf_dir)
+    return P.profile_describe(P.profile_wide(df, "symbol"), "symbol", P.numeric_columns(df, ("symbol",)))
+
+
+@query("profile_date_range")
+def q_profile_date_range(spark, sf_dir):
+    return P.profile_date_range(_profile_wide(spark, sf_dir), "symbol")
+
+
+@query("profile_combined")
+def q_profile_combined(spark, sf_dir):
+    return _profile_wide(spark, sf_dir)
+
+
+@query("profile_schema")
+def q_profile_schema(spark, sf_dir):
+    return P.profile_schema(profile_input(spark, sf_dir))
+
+
+@query("quality_verdict")
+def q_quality_verdict(spark, sf_dir):
+    return P.quality_verdict(_profile_wide(spark, sf_dir))
+
+
+LINEITEM_PROFILE_GROUP = "l_returnflag"
+LINEITEM_PROFILE_DATE = "l_shipdate"
+
+
+@query("profile_lineitem")
+def q_profile_lineitem(spark, sf_dir):
+    from tidemark.sources.tables import read_table
+    li = read_table(spark, sf_dir, "lineitem")
+    wide = P.profile_wide(li, LINEITEM_PROFILE_GROUP, LINEITEM_PROFILE_DATE)
+    return P.profile_describe(wide, LINEITEM_PROFILE_GROUP, P.numeric_columns(li, (LINEITEM_PROFILE_GROUP,)))
+
+
+@query("profile_lineitem_nulls")
+def q_profile_lineitem_nulls(spark, sf_dir):
+    from tidemark.sources.tables import read_table
+    li = read_table(spark, sf_dir, "lineitem")
+    wide = P.profile_wide(li, LINEITEM_PROFILE_GROUP, LINEITEM_PROFILE_DATE)
+    return P.profile_nulls(wide, LINEITEM_PROFILE_GROUP, li.columns)

@@ -71,3 +71,72 @@ ORACLE["summary_totals"] = with_e(
 ORACLE["distinct_symbols"] = with_e("SELECT DISTINCT symbol FROM E")
 ORACLE["sort_symbol_date"] = with_e(
     "SELECT row_number() OVER (ORDER BY symbol, date) AS pos, symbol, date, close FROM E")
+
+
+# --- profile ------------------------------------------------------------------
+PROFILE_INPUT = f"""SELECT date AS "Date", close AS "Close", high AS "High", low AS "Low", open AS "Open",
+  CAST(volume AS DOUBLE) AS "Volume", symbol FROM ({B})"""
+PROFILE_COLUMNS = [("Date", "str"), ("Close", "dbl"), ("High", "dbl"), ("Low", "dbl"), ("Open", "dbl"),
+                   ("Volume", "dbl"), ("symbol", "str")]
+
+LINEITEM_COLUMNS = [("l_orderkey", "int"), ("l_partkey", "int"), ("l_suppkey", "int"), ("l_linenumber", "int"),
+                    ("l_quantity", "dbl"), ("l_extendedprice", "dbl"), ("l_discount", "dbl"), ("l_tax", "dbl"),
+                    ("l_returnflag", "str"), ("l_linestatus", "str"), ("l_shipdate", "ts")]
+
+
+def _q(c: str) -> str:
+    return f'"{c}"'
+
+
+def profile_wide_sql(src: str, cols: list[tuple[str, str]], group: str, date_col: str) -> str:
+    parts = ["count(*) AS row_count"]
+    nulls = []
+    for c, k in cols:
+        pred = f"({_q(c)} IS NULL OR isnan({_q(c)}))" if k == "dbl" else f"{_q(c)} IS NULL"
+        parts.append(f"CAST(sum(CASE WHEN {pred} THEN 1 ELSE 0 END) AS BIGINT) AS {_q('nulls__' + c)}")
+        nulls.append(f"CAST(sum(CASE WHEN {pred} THEN 1 ELSE 0 END) AS BIGINT)")
+    for c, k in cols:
+        if k in ("dbl", "int") and c != group:
+            parts += [f"count({_q(c)}) AS {_q('count__' + c)}",
+                      (f"CAST(round_even(CAST(CAST(sum(CAST({_q(c)} AS DECIMAL(38,{10 if k == 'dbl' else 0}))) AS DOUBLE)"
+                       f" / count({_q(c)}) AS DECIMAL(38,12)), 6) AS DOUBLE) AS {_q('mean__' + c)}"),
+                      f"round_even(stddev_samp({_q(c)}), 6) AS {_q('stddev__' + c)}",
+                      f"CAST(min({_q(c)}) AS DOUBLE) AS {_q('min__' + c)}",
+                      f"CAST(max({_q(c)}) AS DOUBLE) AS {_q('max__' + c)}"]
+    parts += [f"CAST(min({_q(date_col)}) AS VARCHAR) AS date_min",
+              f"CAST(max({_q(date_col)}) AS VARCHAR) AS date_max",
+              f"CAST(grouping({_q(group)}) AS INT) AS is_total",
+              "CAST(" + " + ".join(nulls) + " AS BIGINT) AS total_nulls"]
+    return (f"SELECT {_q(group)}, " + ",\n  ".join(parts) +
+            f"\nFROM ({src}) GROUP BY GROUPING SETS (({_q(group)}), ())")
+
+
+def profile_nulls_sql(wide: str, cols: list[tuple[str, str]], group: str) -> str:
+    sel = [f"SELECT {_q(group)}, is_total, '{c}' AS \"column\", {_q('nulls__' + c)} AS nulls FROM W"
+           for c, _ in cols]
+    return f"WITH W AS ({wide})\n" + "\nUNION ALL ".join(sel)
+
+
+def profile_describe_sql(wide: str, cols: list[tuple[str, str]], group: str) -> str:
+    sel = [f"SELECT {_q(group)}, is_total, '{c}' AS \"column\", {_q('count__' + c)} AS count, "
+           f"CAST({_q('mean__' + c)} AS DOUBLE) AS mean, CAST({_q('stddev__' + c)} AS DOUBLE) AS stddev, "
+           f"{_q('min__' + c)} AS min, {_q('max__' + c)} AS max FROM W"
+           for c, k in cols if k in ("dbl", "int") and c != group]
+    return f"WITH W AS ({wide})\n" + "\nUNION ALL ".join(sel)
+
+
+PW = profile_wide_sql(PROFILE_INPUT, PROFILE_COLUMNS, "symbol", "Date")
+ORACLE["profile_combined"] = PW
+ORACLE["profile_counts"] = f"SELECT symbol, is_total, row_count, total_nulls FROM ({PW})"
+ORACLE["profile_nulls"] = profile_nulls_sql(PW, PROFILE_COLUMNS, "symbol")
+ORACLE["profile_describe"] = profile_describe_sql(PW, PROFILE_COLUMNS, "symbol")
+ORACLE["profile_date_range"] = f"SELECT symbol, is_total, date_min, date_max FROM ({PW})"
+ORACLE["quality_verdict"] = (f"SELECT row_count, total_nulls, CASE WHEN row_count > 0 AND total_nulls = 0 "
+                             f"THEN 'PASS' ELSE 'FAIL' END AS verdict FROM ({PW}) WHERE is_total = 1")
+_SPARK_TYPE = {"str": "string", "dbl": "double", "int": "bigint"}
+ORACLE["profile_schema"] = "\nUNION ALL ".join(
+    f"SELECT {i + 1} AS position, '{c}' AS \"column\", '{_SPARK_TYPE[k]}' AS type FROM (SELECT 1 FROM ({B}) LIMIT 1)"
+    for i, (c, k) in enumerate(PROFILE_COLUMNS))
+LW = profile_wide_sql("SELECT * FROM lineitem", LINEITEM_COLUMNS, "l_returnflag", "l_shipdate")
+ORACLE["profile_lineitem"] = profile_describe_sql(LW, LINEITEM_COLUMNS, "l_returnflag")
+ORACLE["profile_lineitem_nulls"] = profile_nulls_sql(LW, LINEITEM_COLUMNS, "l_returnflag")
