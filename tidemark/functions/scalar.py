@@ -58,7 +58,5 @@ def null_display(x) -> Column:
 def bench_date_key(i, year: int = 2019, per_month: int = 30, days: int = 28) -> Column:
     """Synthetic benchmark sort key for integer ``i``: BENCH-<year>-MM-DD with
     MM = i div per_month + 1 and DD = i mod days + 1, both zero padded."""
-    i = _c(i)
-    mm = F.lpad((F.floor(i / per_month) + 1).cast("string"), 2, "0")
-    dd = F.lpad((F.pmod(i, F.lit(days)) + 1).cast("string"), 2, "0")
-    return F.concat(F.lit(f"BENCH-{year}-"), mm, F.lit("-"), dd)
+    i = _c(i).cast("long")
+    return F.format_string(f"BENCH-{year}-%02d-%02d", F.floor(i / per_month) + 1, F.pmod(i, F.lit(days)) + 1)

@@ -210,3 +210,132 @@ def q_profile_lineitem_nulls(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem")
     wide = P.profile_wide(li, LINEITEM_PROFILE_GROUP, LINEITEM_PROFILE_DATE)
     return P.profile_nulls(wide, LINEITEM_PROFILE_GROUP, li.columns)
+
+
+# --- keyed table ----------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from tidemark.functions.scalar import bench_date_key, round_half_even  # noqa: E402
+from tidemark.operators import keyed as K  # noqa: E402
+from tidemark.schemas import BENCH_PREFIX, ENRICHED_COLUMNS  # noqa: E402
+from tidemark.session import scratch_path  # noqa: E402
+from tidemark.sources import keyed_store as KS  # noqa: E402
+from tidemark.sources.tables import read_table  # noqa: E402
+
+_STORES: dict[tuple, str] = {}
+
+# Reads of the keyed table: one symbol, a closed date range, a point.
+SCAN_SYMBOL = "click"
+RANGE_START, RANGE_END = "2024-01-10", "2024-01-20"
+POINT_DATE = "2024-01-15 10"
+
+
+def keyed_table_root(spark: SparkSession, sf_dir: str) -> str:
+    """The enriched bars stored once per session as version 0 of a keyed table."""
+    k = (spark.sparkContext.applicationId, sf_dir, "enriched")
+    if k not in _STORES:
+        root = scratch_path(spark, "keyed")
+        KS.write_version(enriched(spark, sf_dir), root, 0)
+        _STORES[k] = root
+    return _STORES[k]
+
+
+def stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return KS.read_version(spark, keyed_table_root(spark, sf_dir))
+
+
+def bench_puts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tick as a full-record put on a synthetic benchmark key
+    (symbol = event type, date = BENCH key of the event id, seq = event id):
+    a one-tick bar. Keys collide, so the latest seq must win."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "event_type", "value"])
+    return ev.select(F.col("event_type").alias("symbol"), bench_date_key("event_id").alias("date"),
+                     *[F.col("value").alias(c) for c in ("open", "high", "low", "close")],
+                     F.lit(1).cast("long").alias("volume"), F.lit(0.0).alias("pct_change"),
+                     F.lit(None).cast("double").alias("moving_avg_7"),
+                     F.lit(False).alias("is_anomaly"), F.lit(False).alias("volume_spike"),
+                     F.col("event_id").alias("seq"))
+
+
+def bench_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tick as SET pct_change on the BENCH key of its user id: some keys
+    exist after the puts, some do not (created)."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "event_type", "user_id", "value"])
+    return ev.select(F.col("event_type").alias("symbol"), bench_date_key("user_id").alias("date"),
+                     round_half_even("value", 2).alias("pct_change"), F.col("event_id").alias("seq"))
+
+
+def after_puts(spark, sf_dir):
+    return K.upsert_latest(stored_table(spark, sf_dir), bench_puts(spark, sf_dir))
+
+
+def after_updates(spark, sf_dir):
+    return K.partial_update(after_puts(spark, sf_dir), bench_updates(spark, sf_dir), "pct_change")
+
+
+def after_deletes(spark, sf_dir):
+    return K.delete_by_key(after_updates(spark, sf_dir), bench_updates(spark, sf_dir).select(*K.KEY))
+
+
+def stored_after_puts(spark, sf_dir) -> DataFrame:
+    """The table after the puts, published as version 1 and read back."""
+    k = (spark.sparkContext.applicationId, sf_dir, "after_puts")
+    root = keyed_table_root(spark, sf_dir)
+    if k not in _STORES:
+        KS.write_version(after_puts(spark, sf_dir), root, 1)
+        _STORES[k] = root
+    return KS.read_version(spark, root, 1)
+
+
+@query("full_scan")
+def q_full_scan(spark, sf_dir):
+    return stored_table(spark, sf_dir)
+
+
+@query("decimal_sink")
+def q_decimal_sink(spark, sf_dir):
+    # The exact decimal text the store holds for every numeric attribute.
+    d = KS.to_sink_types(enriched(spark, sf_dir))
+    return d.select("symbol", "date", *[F.col(c).cast("string").alias(c)
+                                        for c in KS.PRICE_COLUMNS + KS.COMPUTED_COLUMNS])
+
+
+@query("upsert_latest")
+def q_upsert_latest(spark, sf_dir):
+    return after_puts(spark, sf_dir)
+
+
+@query("partial_update")
+def q_partial_update(spark, sf_dir):
+    return after_updates(spark, sf_dir)
+
+
+@query("delete_by_key")
+def q_delete_by_key(spark, sf_dir):
+    return after_deletes(spark, sf_dir)
+
+
+@query("delete_by_prefix")
+def q_delete_by_prefix(spark, sf_dir):
+    symbols = [r[0] for r in A.distinct_symbols(stored_table(spark, sf_dir)).collect()]
+    return K.delete_by_prefix(after_deletes(spark, sf_dir), BENCH_PREFIX, symbols)
+
+
+@query("symbol_scan")
+def q_symbol_scan(spark, sf_dir):
+    return K.symbol_scan(stored_after_puts(spark, sf_dir), SCAN_SYMBOL)
+
+
+@query("symbol_date_range")
+def q_symbol_date_range(spark, sf_dir):
+    return K.symbol_date_range(stored_after_puts(spark, sf_dir), SCAN_SYMBOL, RANGE_START, RANGE_END)
+
+
+@query("prefix_scan")
+def q_prefix_scan(spark, sf_dir):
+    return K.prefix_scan(stored_after_puts(spark, sf_dir), SCAN_SYMBOL, BENCH_PREFIX)
+
+
+@query("point_lookup")
+def q_point_lookup(spark, sf_dir):
+    return K.point_lookup(stored_after_puts(spark, sf_dir), SCAN_SYMBOL, POINT_DATE)

@@ -140,3 +140,41 @@ ORACLE["profile_schema"] = "\nUNION ALL ".join(
 LW = profile_wide_sql("SELECT * FROM lineitem", LINEITEM_COLUMNS, "l_returnflag", "l_shipdate")
 ORACLE["profile_lineitem"] = profile_describe_sql(LW, LINEITEM_COLUMNS, "l_returnflag")
 ORACLE["profile_lineitem_nulls"] = profile_nulls_sql(LW, LINEITEM_COLUMNS, "l_returnflag")
+
+
+# --- keyed table ----------------------------------------------------------------
+def bench_key_sql(col: str) -> str:
+    return f"printf('BENCH-2019-%02d-%02d', {col} // 30 + 1, {col} % 28 + 1)"
+
+
+ECOLS = "symbol, date, open, high, low, close, volume, pct_change, moving_avg_7, is_anomaly, volume_spike"
+PUTS = f"""SELECT event_type AS symbol, {bench_key_sql('event_id')} AS date,
+  arg_max(value, event_id) AS open, arg_max(value, event_id) AS high, arg_max(value, event_id) AS low,
+  arg_max(value, event_id) AS close, CAST(1 AS BIGINT) AS volume, 0.0::DOUBLE AS pct_change,
+  CAST(NULL AS DOUBLE) AS moving_avg_7, false AS is_anomaly, false AS volume_spike
+FROM events GROUP BY 1, 2"""
+T1 = f"SELECT {ECOLS} FROM E WHERE (symbol, date) NOT IN (SELECT (symbol, date) FROM P) UNION ALL SELECT * FROM P"
+UPD = f"""SELECT event_type AS symbol, {bench_key_sql('user_id')} AS date,
+  arg_max(round_even(value, 2), event_id) AS pct_change FROM events GROUP BY 1, 2"""
+T2 = f"""SELECT coalesce(t.symbol, u.symbol) AS symbol, coalesce(t.date, u.date) AS date,
+  t.open, t.high, t.low, t.close, t.volume,
+  CASE WHEN u.symbol IS NOT NULL THEN u.pct_change ELSE t.pct_change END AS pct_change,
+  t.moving_avg_7, t.is_anomaly, t.volume_spike
+FROM T1 t FULL OUTER JOIN U u ON t.symbol = u.symbol AND t.date = u.date"""
+T3 = "SELECT * FROM T2 t WHERE NOT EXISTS (SELECT 1 FROM U u WHERE u.symbol = t.symbol AND u.date = t.date)"
+KEYED = f"WITH E AS ({E}), P AS ({PUTS}), T1 AS ({T1}), U AS ({UPD}), T2 AS ({T2}), T3 AS ({T3})\n"
+
+ORACLE["full_scan"] = E
+ORACLE["decimal_sink"] = with_e(
+    "SELECT symbol, date, " + ", ".join(
+        f"CAST(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,18)) AS VARCHAR) AS {c}" for c in ("open", "high", "low", "close"))
+    + ", " + ", ".join(f"CAST(CAST(CAST({c} AS VARCHAR) AS DECIMAL(18,2)) AS VARCHAR) AS {c}"
+                       for c in ("pct_change", "moving_avg_7")) + " FROM E")
+ORACLE["upsert_latest"] = KEYED + "SELECT * FROM T1"
+ORACLE["partial_update"] = KEYED + "SELECT * FROM T2"
+ORACLE["delete_by_key"] = KEYED + "SELECT * FROM T3"
+ORACLE["delete_by_prefix"] = KEYED + "SELECT * FROM T3 WHERE NOT starts_with(date, 'BENCH-')"
+ORACLE["symbol_scan"] = KEYED + "SELECT * FROM T1 WHERE symbol = 'click'"
+ORACLE["symbol_date_range"] = KEYED + "SELECT * FROM T1 WHERE symbol = 'click' AND date BETWEEN '2024-01-10' AND '2024-01-20'"
+ORACLE["prefix_scan"] = KEYED + "SELECT * FROM T1 WHERE symbol = 'click' AND starts_with(date, 'BENCH-')"
+ORACLE["point_lookup"] = KEYED + "SELECT * FROM T1 WHERE symbol = 'click' AND date = '2024-01-15 10'"
