@@ -217,7 +217,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tidemark.functions.scalar import bench_date_key, round_half_even  # noqa: E402
 from tidemark.operators import keyed as K  # noqa: E402
-from tidemark.schemas import BENCH_PREFIX, ENRICHED_COLUMNS  # noqa: E402
+from tidemark.schemas import BAR_COLUMNS, BENCH_PREFIX, ENRICHED_COLUMNS  # noqa: E402
 from tidemark.session import scratch_path  # noqa: E402
 from tidemark.sources import keyed_store as KS  # noqa: E402
 from tidemark.sources.tables import read_table  # noqa: E402
@@ -339,3 +339,92 @@ def q_prefix_scan(spark, sf_dir):
 @query("point_lookup")
 def q_point_lookup(spark, sf_dir):
     return K.point_lookup(stored_after_puts(spark, sf_dir), SCAN_SYMBOL, POINT_DATE)
+
+
+# --- ingest: raw files, messages, rejects ----------------------------------------
+from tidemark.operators import validate as VAL  # noqa: E402
+from tidemark.sources import bar_files as BF  # noqa: E402
+from tidemark.sources import messages as MSG  # noqa: E402
+
+
+def _cached_path(spark: SparkSession, sf_dir: str, name: str, writer) -> str:
+    k = (spark.sparkContext.applicationId, sf_dir, name)
+    if k not in _STORES:
+        path = scratch_path(spark, name)
+        writer(path)
+        _STORES[k] = path
+    return _STORES[k]
+
+
+def bar_files_path(spark: SparkSession, sf_dir: str) -> str:
+    """Hourly bars landed as raw text files, one directory per symbol."""
+    return _cached_path(spark, sf_dir, "bar-files", lambda p: BF.write_bar_files(bars(spark, sf_dir), p))
+
+
+def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return BF.scan_bar_files(spark, bar_files_path(spark, sf_dir)).select(*RAW_BAR_COLUMNS)
+
+
+def published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed rows (ticker rows included) as JSON messages."""
+    return MSG.encode(raw_rows(spark, sf_dir))
+
+
+@query("csv_scan_clean")
+def q_csv_scan_clean(spark, sf_dir):
+    return BF.clean_bars(BF.scan_bar_files(spark, bar_files_path(spark, sf_dir)))
+
+
+@query("multi_file_scan")
+def q_multi_file_scan(spark, sf_dir):
+    root = bar_files_path(spark, sf_dir)
+    symbols = [r[0] for r in A.distinct_symbols(bars(spark, sf_dir)).orderBy("symbol").collect()]
+    paths = BF.existing_paths(spark, [f"{root}/{BF.FILE_SYMBOL}={s}" for s in symbols])
+    return BF.clean_bars(BF.scan_bar_files(spark, paths))
+
+
+@query("partitioned_roundtrip")
+def q_partitioned_roundtrip(spark, sf_dir):
+    path = _cached_path(spark, sf_dir, "bars-by-symbol",
+                        lambda p: bars(spark, sf_dir).repartitionByRange("symbol", "date")
+                        .write.mode("overwrite").partitionBy("symbol").parquet(p))
+    return spark.read.parquet(path).select(*BAR_COLUMNS)
+
+
+@query("numeric_row_filter")
+def q_numeric_row_filter(spark, sf_dir):
+    return BF.numeric_rows(raw_rows(spark, sf_dir))
+
+
+@query("numeric_coerce")
+def q_numeric_coerce(spark, sf_dir):
+    return BF.coerce_numeric(raw_rows(spark, sf_dir))
+
+
+@query("json_encode")
+def q_json_encode(spark, sf_dir):
+    # Published messages read back field by field as text.
+    m = published(spark, sf_dir).select(F.from_json("value", "map<string,string>").alias("m"))
+    return m.select(*[F.col("m")[c].alias(c) for c in RAW_BAR_COLUMNS])
+
+
+@query("json_decode")
+def q_json_decode(spark, sf_dir):
+    valid, _ = VAL.validate_split(published(spark, sf_dir))
+    return valid
+
+
+@query("validate_split")
+def q_validate_split(spark, sf_dir):
+    _, rejects = VAL.validate_split(published(spark, sf_dir))
+    return rejects
+
+
+@query("date_parse")
+def q_date_parse(spark, sf_dir):
+    # Strict parse (ANSI: a malformed date fails the query, like the analysis
+    # step); shown as days since the epoch and the re-rendered ISO date.
+    b = bars(spark, sf_dir, grain="day")
+    d = F.to_date("date", "yyyy-MM-dd")
+    return b.select("symbol", "date", F.datediff(d, F.lit("1970-01-01").cast("date")).cast("long").alias("epoch_day"),
+                    F.date_format(d, "yyyy-MM-dd").alias("iso_date"))

@@ -178,3 +178,31 @@ ORACLE["symbol_scan"] = KEYED + "SELECT * FROM T1 WHERE symbol = 'click'"
 ORACLE["symbol_date_range"] = KEYED + "SELECT * FROM T1 WHERE symbol = 'click' AND date BETWEEN '2024-01-10' AND '2024-01-20'"
 ORACLE["prefix_scan"] = KEYED + "SELECT * FROM T1 WHERE symbol = 'click' AND starts_with(date, 'BENCH-')"
 ORACLE["point_lookup"] = KEYED + "SELECT * FROM T1 WHERE symbol = 'click' AND date = '2024-01-15 10'"
+
+
+# --- ingest ---------------------------------------------------------------------
+RAW = f"""SELECT date AS "Date", CAST(close AS VARCHAR) AS "Close", CAST(high AS VARCHAR) AS "High",
+  CAST(low AS VARCHAR) AS "Low", CAST(open AS VARCHAR) AS "Open", CAST(volume AS VARCHAR) AS "Volume", symbol
+FROM ({B})"""
+TICKER = f"""SELECT CAST(NULL AS VARCHAR) AS "Date", symbol AS "Close", symbol AS "High", symbol AS "Low",
+  symbol AS "Open", symbol AS "Volume", CAST(NULL AS VARCHAR) AS symbol FROM (SELECT DISTINCT symbol FROM ({B}))"""
+RAW_ALL = f"{RAW} UNION ALL {TICKER}"
+BAR_COLS_SQL = "symbol, date, open, high, low, close, volume"
+
+ORACLE["csv_scan_clean"] = f"SELECT {BAR_COLS_SQL} FROM ({B})"
+ORACLE["multi_file_scan"] = ORACLE["csv_scan_clean"]
+ORACLE["partitioned_roundtrip"] = ORACLE["csv_scan_clean"]
+ORACLE["numeric_row_filter"] = f"SELECT * FROM ({RAW_ALL}) WHERE regexp_matches(\"Close\", '^-?\\d+(\\.\\d+)?$')"
+ORACLE["numeric_coerce"] = f"""SELECT "Date", TRY_CAST("Close" AS DOUBLE) AS "Close", TRY_CAST("High" AS DOUBLE) AS "High",
+  TRY_CAST("Low" AS DOUBLE) AS "Low", TRY_CAST("Open" AS DOUBLE) AS "Open", TRY_CAST("Volume" AS DOUBLE) AS "Volume",
+  symbol FROM ({RAW_ALL})"""
+ORACLE["json_encode"] = RAW_ALL
+ORACLE["json_decode"] = f"SELECT {BAR_COLS_SQL} FROM ({valid_sql(B)})"
+_JSON_TEXT = ("'{\"Date\":' || coalesce('\"' || \"Date\" || '\"', 'null') || ',\"Close\":\"' || \"Close\" || "
+              "'\",\"High\":\"' || \"High\" || '\",\"Low\":\"' || \"Low\" || '\",\"Open\":\"' || \"Open\" || "
+              "'\",\"Volume\":\"' || \"Volume\" || '\",\"symbol\":' || coalesce('\"' || symbol || '\"', 'null') || '}'")
+ORACLE["validate_split"] = f"""SELECT {_JSON_TEXT} AS raw,
+  CASE WHEN TRY_CAST("Open" AS DOUBLE) IS NULL THEN 'bad_number' ELSE 'zero_open' END AS reason
+FROM ({RAW_ALL}) WHERE TRY_CAST("Open" AS DOUBLE) IS NULL OR TRY_CAST("Open" AS DOUBLE) = 0"""
+ORACLE["date_parse"] = (f"SELECT symbol, date, CAST(date_diff('day', DATE '1970-01-01', CAST(strptime(date, '%Y-%m-%d') AS DATE)) AS BIGINT) AS epoch_day, "
+                        f"strftime(CAST(strptime(date, '%Y-%m-%d') AS DATE), '%Y-%m-%d') AS iso_date FROM ({bars_sql(grain='day')})")
