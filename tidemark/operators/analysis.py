@@ -5,7 +5,7 @@ All are lazy DataFrames over the enriched table; nothing is collected.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -50,22 +50,33 @@ def distinct_symbols(enriched: DataFrame) -> DataFrame:
     return enriched.select("symbol").distinct()
 
 
-def sort_symbol_date(df: DataFrame, bucket_chars: int = 7) -> DataFrame:
-    """Rows in (symbol, date) order with their 1-based position ``pos``.
+def positions(df: DataFrame, order: list[str], within: list[str] | None = None,
+              bucket: Column | None = None, name: str = "pos") -> DataFrame:
+    """1-based position of every row in ``order`` (per ``within`` group, or
+    over the whole frame), without a single-task window.
 
-    A global ``row_number() OVER (ORDER BY ...)`` runs in a single task. Here
-    the position is the row's rank inside its (symbol, date-bucket) plus the
-    number of rows in all earlier buckets; the running offset is computed on
-    the per-bucket count table (one row per symbol and bucket), and the final
-    ``orderBy`` is a range-partitioned sort.
+    Rows are ranked inside (group, bucket), where ``bucket`` is a coarse,
+    order-preserving prefix of the ordering (default: the first 7 characters
+    of the first order column). A running sum over the per-bucket row counts
+    (one row per group and bucket, far smaller than the data) gives each
+    bucket's offset. Data rows are shuffled once, on (group, bucket).
     """
-    b = df.withColumn("_b", F.substring("date", 1, bucket_chars))
-    counts = b.groupBy("symbol", "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.withColumn(
-        "_off", F.sum("_cnt").over(Window.orderBy("symbol", "_b")
-                                   .rowsBetween(Window.unboundedPreceding, -1))
-    ).select("symbol", "_b", F.coalesce("_off", F.lit(0)).alias("_off"))
-    ranked = b.withColumn("_rn", F.row_number().over(Window.partitionBy("symbol", "_b").orderBy("date")))
-    return (ranked.join(offsets, ["symbol", "_b"])
-            .select((F.col("_off") + F.col("_rn")).cast("long").alias("pos"), "symbol", "date", "close")
-            .orderBy("symbol", "date"))
+    within = within or []
+    bucket = bucket if bucket is not None else F.substring(F.col(order[0]).cast("string"), 1, 7)
+    b = df.withColumn("_pb", bucket)
+    counts = b.groupBy(*within, "_pb").agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.orderBy(*within, "_pb") if not within else Window.partitionBy(*within).orderBy("_pb")
+    offsets = (counts.withColumn("_off", F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+               .select(*within, "_pb", F.coalesce("_off", F.lit(0)).alias("_off")))
+    ranked = b.withColumn("_rn", F.row_number().over(Window.partitionBy(*within, "_pb").orderBy(*order)))
+    return (ranked.join(offsets, [*within, "_pb"])
+            .withColumn(name, (F.col("_off") + F.col("_rn")).cast("long"))
+            .drop("_pb", "_off", "_rn"))
+
+
+def sort_symbol_date(df: DataFrame, bucket_chars: int = 7) -> DataFrame:
+    """Rows in (symbol, date) order with their 1-based global position ``pos``;
+    the final ``orderBy`` is a range-partitioned distributed sort."""
+    ordered = positions(df.select("symbol", "date", "close"), ["symbol", "date"],
+                        bucket=F.struct(F.col("symbol"), F.substring("date", 1, bucket_chars)))
+    return ordered.select("pos", "symbol", "date", "close").orderBy("symbol", "date")

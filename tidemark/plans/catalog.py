@@ -428,3 +428,66 @@ def q_date_parse(spark, sf_dir):
     d = F.to_date("date", "yyyy-MM-dd")
     return b.select("symbol", "date", F.datediff(d, F.lit("1970-01-01").cast("date")).cast("long").alias("epoch_day"),
                     F.date_format(d, "yyyy-MM-dd").alias("iso_date"))
+
+
+# --- streaming --------------------------------------------------------------------
+from tidemark.streaming import enrich_state as ST  # noqa: E402
+from tidemark.streaming import sinks as SK  # noqa: E402
+from tidemark.streaming import source as SRC  # noqa: E402
+
+FILES_PER_TRIGGER = 8
+
+
+def message_log_path(spark: SparkSession, sf_dir: str) -> str:
+    """Published messages landed in arrival order: per symbol, the ticker row,
+    then the bars by date; ``seq`` numbers the arrivals of each symbol."""
+    def land(path):
+        raw = BF.with_ticker_rows(BF.raw_bar_rows(bars(spark, sf_dir)))
+        seqd = A.positions(raw, ["_ord", "Date"], within=[BF.FILE_SYMBOL],
+                           bucket=F.coalesce(F.substring("Date", 1, 7), F.lit("")), name="seq")
+        msgs = MSG.encode(seqd.select(*RAW_BAR_COLUMNS)).select("value")
+        msgs = seqd.select("seq", F.to_json(F.struct(*RAW_BAR_COLUMNS), {"ignoreNullFields": "false"}).alias("value"),
+                           F.coalesce(F.substring("Date", 1, 9), F.lit("")).alias("_slice"))
+        SRC.write_message_slices(msgs, path, "_slice")
+    return _cached_path(spark, sf_dir, "messages", land)
+
+
+def _classified_stream(spark, sf_dir):
+    return VAL.classify(SRC.file_message_stream(spark, message_log_path(spark, sf_dir), FILES_PER_TRIGGER))
+
+
+def _run_to_files(stream: DataFrame, spark: SparkSession, name: str) -> str:
+    out, ckpt = scratch_path(spark, name), scratch_path(spark, name + "-ckpt")
+    q = (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return out
+
+
+@query("stream_decode")
+def q_stream_decode(spark, sf_dir):
+    out = _run_to_files(VAL.valid_part(_classified_stream(spark, sf_dir), ["seq"]), spark, "stream-decode")
+    return spark.read.parquet(out).select(*BAR_COLUMNS)
+
+
+@query("stream_rejects")
+def q_stream_rejects(spark, sf_dir):
+    out = _run_to_files(VAL.reject_part(_classified_stream(spark, sf_dir)), spark, "stream-rejects")
+    return spark.read.parquet(out).select("raw", "reason")
+
+
+@query("stream_enrich")
+def q_stream_enrich(spark, sf_dir):
+    valid = VAL.valid_part(_classified_stream(spark, sf_dir), ["seq"])
+    out = _run_to_files(ST.stream_enrich(valid), spark, "stream-enrich")
+    return spark.read.parquet(out).select(*ENRICHED_COLUMNS)
+
+
+@query("stream_upsert")
+def q_stream_upsert(spark, sf_dir):
+    valid = VAL.valid_part(_classified_stream(spark, sf_dir), ["seq"])
+    root, ckpt = scratch_path(spark, "live-table"), scratch_path(spark, "live-table-ckpt")
+    q = (ST.stream_enrich(valid).writeStream.foreachBatch(SK.upsert_sink(root))
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return SK.read_live_table(spark, root)

@@ -206,3 +206,10 @@ ORACLE["validate_split"] = f"""SELECT {_JSON_TEXT} AS raw,
 FROM ({RAW_ALL}) WHERE TRY_CAST("Open" AS DOUBLE) IS NULL OR TRY_CAST("Open" AS DOUBLE) = 0"""
 ORACLE["date_parse"] = (f"SELECT symbol, date, CAST(date_diff('day', DATE '1970-01-01', CAST(strptime(date, '%Y-%m-%d') AS DATE)) AS BIGINT) AS epoch_day, "
                         f"strftime(CAST(strptime(date, '%Y-%m-%d') AS DATE), '%Y-%m-%d') AS iso_date FROM ({bars_sql(grain='day')})")
+
+
+# --- streaming ------------------------------------------------------------------
+ORACLE["stream_decode"] = ORACLE["json_decode"]
+ORACLE["stream_rejects"] = ORACLE["validate_split"]
+ORACLE["stream_enrich"] = E
+ORACLE["stream_upsert"] = E
