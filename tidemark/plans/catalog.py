@@ -491,3 +491,31 @@ def q_stream_upsert(spark, sf_dir):
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     return SK.read_live_table(spark, root)
+
+
+# --- rollups ----------------------------------------------------------------------
+from tidemark.operators import rollups as R  # noqa: E402
+
+
+def timings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tick table read as a timing table: op = event type, elapsed_ms = value."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "event_type", "value"])
+    return ev.select(F.col("event_type").alias("op"), F.col("value").alias("elapsed_ms"), "ts", "event_id")
+
+
+@query("latency_summary")
+def q_latency_summary(spark, sf_dir):
+    return R.latency_summary(timings(spark, sf_dir))
+
+
+@query("batch_assign")
+def q_batch_assign(spark, sf_dir):
+    # The enriched table written in per-symbol batches of 25 rows, date order.
+    e = enriched(spark, sf_dir).select("symbol", "date")
+    return R.batch_summary(e, ["symbol"], ["date"], bucket=F.substring("date", 1, 7))
+
+
+@query("batch_throughput")
+def q_batch_throughput(spark, sf_dir):
+    return R.batch_throughput(timings(spark, sf_dir), ["ts", "event_id"],
+                              bucket=F.date_format("ts", "yyyy-MM-dd"))

@@ -213,3 +213,26 @@ ORACLE["stream_decode"] = ORACLE["json_decode"]
 ORACLE["stream_rejects"] = ORACLE["validate_split"]
 ORACLE["stream_enrich"] = E
 ORACLE["stream_upsert"] = E
+
+
+# --- rollups ----------------------------------------------------------------------
+def _r(x: str, scale: int) -> str:
+    return f"CAST(round_even(CAST({x} AS DECIMAL(38,12)), {scale}) AS DOUBLE)"
+
+
+_MEAN = "(CAST(sum(CAST(value AS DECIMAL(38,10))) AS DOUBLE) / count(value))"
+ORACLE["latency_summary"] = f"""SELECT event_type AS op, count(*) AS calls, {_r(_MEAN, 1)} AS avg_ms,
+  {_r('min(value)', 1)} AS min_ms, {_r('max(value)', 1)} AS max_ms, {_r('1000.0 / ' + _MEAN, 1)} AS throughput,
+  CAST(floor({_MEAN}) AS BIGINT) AS floor_mean_ms FROM events GROUP BY 1"""
+ORACLE["batch_assign"] = with_e("""SELECT symbol, CAST((rn - 1) // 25 AS BIGINT) AS batch, count(*) AS records,
+  min(date) AS first_date, max(date) AS last_date
+FROM (SELECT symbol, date, row_number() OVER (PARTITION BY symbol ORDER BY date) AS rn FROM E) GROUP BY 1, 2""")
+_TOT = "CAST(sum(ms) AS DOUBLE)"
+ORACLE["batch_throughput"] = f"""WITH Rr AS (SELECT event_type AS op, value,
+    row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn FROM events),
+  Bt AS (SELECT op, (rn - 1) // 25 AS batch, count(*) AS n, sum(CAST(value AS DECIMAL(38,10))) AS ms
+    FROM Rr GROUP BY 1, 2)
+SELECT op, CAST(sum(n) AS BIGINT) AS records, count(*) AS batches, {_r(_TOT, 0)} AS total_ms,
+  {_r(_TOT + ' / count(*)', 0)} AS avg_batch_ms, {_r('min(ms)', 1)} AS min_batch_ms, {_r('max(ms)', 1)} AS max_batch_ms,
+  {_r('sum(n) / (' + _TOT + ' / 1000.0)', 1)} AS records_per_sec
+FROM Bt GROUP BY op"""
