@@ -1,11 +1,12 @@
-"""Single-pass table profile: per group and overall, in one aggregate.
+"""Single-pass table profile: per group and overall, from one scan.
 
 The reference runs about 20 jobs per file (one count per column, describe,
 min, max, then all again on the union). Here every statistic is one
-expression in one ``rollup(group)`` aggregate, i.e. grouping sets
-``((group), ())``: Spark plans it as Expand + partial/final hash aggregate
-over a single scan. The long forms (nulls per column, describe per column)
-are ``unpivot``s of that one wide row per group, not further scans.
+expression in one per-group aggregate (partial + final hash aggregate over a
+single scan); the overall row is merged from the per-group rows, which is
+cheaper than grouping sets (they Expand every input row once per set). The
+long forms (nulls per column, describe per column) reshape that one wide
+row per group, they are not further scans.
 
 Null predicate (type-directed): NULL or NaN for float/double columns, NULL
 for everything else. Describe statistics: count of non-null values, mean,
@@ -16,10 +17,12 @@ because floating sums depend on the partition layout in their last bits.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import scratch_path
+
 STAT_DECIMALS = 6
 TOTAL_LABEL_COL = "is_total"
 
@@ -31,24 +34,41 @@ def null_predicate(df: DataFrame, c: str) -> Column:
     return F.col(c).isNull()
 
 
-def stable_mean(df: DataFrame, c: str) -> Column:
-    """Mean rounded half-even to ``STAT_DECIMALS``, independent of partitioning.
-
-    The values are summed as DECIMAL (exact, so the order of the partial sums
-    no longer matters), divided once in double, and rounded in decimal, so a
-    mean lying exactly on a rounding tie is rounded as a tie. Columns holding
-    NaN or infinity fall back to the plain average (NaN / infinite, as describe).
+# Exact sums at long speed: a value is split into a whole part and a fraction
+# in millionths; both are summed as BIGINT (no decimal arithmetic per row).
+FRACTION_UNITS = 1_000_000
+# Magnitudes beyond this are not split exactly; such columns use the plain mean.
+SPLIT_LIMIT = 1e15
+
+
+def _split_parts(df: DataFrame, c: str) -> tuple[Column, Column, Column]:
+    """(whole part, fraction in millionths, not-splittable flag) of column ``c``."""
+    x = F.col(c)
+    if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+        x = x.cast("double")
+        odd = F.isnan(x) | (F.abs(x) >= F.lit(SPLIT_LIMIT))
+        safe = F.when(~odd, x)
+        hi = F.floor(safe).cast("long")
+        # rint: the scaled fraction of a value with <= 6 decimals lies within
+        # 1e-9 of an integer; rint is exact there and avoids decimal rounding.
+        lo = F.rint((safe - F.floor(safe)) * FRACTION_UNITS).cast("long")
+    else:  # integral: the whole part is the value itself
+        hi, lo, odd = x.cast("long"), F.lit(0).cast("long"), F.lit(False)
+    return hi, lo, odd
+
+
+def stable_mean(hi_sum: Column, lo_sum: Column, n: Column, plain_avg: Column, odd: Column) -> Column:
+    """Mean rounded half-even to ``STAT_DECIMALS`` from exact split sums.
+
+    sum = whole + fraction / 10^6 (both exact BIGINT sums, so independent of
+    the partition layout), one double division, then decimal half-even
+    rounding, so a mean lying exactly on a tie is rounded as a tie. Columns
+    holding NaN or huge values, or whose BIGINT sums overflow (NULL from
+    try_sum), fall back to the plain average.
     """
-    dt = df.schema[c].dataType
-    if isinstance(dt, (T.DoubleType, T.FloatType)):
-        dec = F.expr(f"try_cast(`{c}` AS DECIMAL(38,10))")
-        odd = F.max((F.isnan(c) | (F.abs(F.col(c)) == F.lit(float("inf")))).cast("int")) == 1
-    else:
-        dec = F.col(c).cast("decimal(38,0)")
-        odd = F.lit(False)
-    exact = F.sum(dec).cast("double") / F.count(c)
-    rounded = F.bround(exact.cast("decimal(38,12)"), STAT_DECIMALS).cast("double")
-    return F.when(odd, F.avg(c)).otherwise(rounded)
+    total = hi_sum.cast("double") + lo_sum.cast("double") / F.lit(float(FRACTION_UNITS))
+    rounded = F.bround((total / n).cast("decimal(38,12)"), STAT_DECIMALS).cast("double")
+    return F.when(odd | hi_sum.isNull() | lo_sum.isNull(), plain_avg).otherwise(rounded)
 
 
 def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
@@ -62,29 +82,75 @@ def resolve_date_column(df: DataFrame, preferred: str = "Date") -> str:
 
 
 def profile_wide(df: DataFrame, group: str, date_col: str | None = None) -> DataFrame:
-    """One row per group plus one total row (group NULL, is_total = 1)."""
+    """One row per group plus one total row (group NULL, is_total = 1).
+
+    One scan and one aggregate per group; the total row is merged from the
+    per-group rows (a table with one row per group), so no row is
+    aggregated twice (grouping sets would Expand every row into two).
+    """
     cols = df.columns
     nums = numeric_columns(df, exclude=(group,))
     date_col = date_col or resolve_date_column(df)
     aggs = [F.count(F.lit(1)).alias("row_count")]
-    null_terms = []
     for c in cols:
-        n = F.sum(F.when(null_predicate(df, c), 1).otherwise(0)).cast("long")
-        aggs.append(n.alias(f"nulls__{c}"))
-        null_terms.append(F.col(f"nulls__{c}"))
+        aggs.append(F.sum(F.when(null_predicate(df, c), 1).otherwise(0)).cast("long").alias(f"nulls__{c}"))
     for c in nums:
+        hi, lo, odd = _split_parts(df, c)
         aggs += [F.count(c).alias(f"count__{c}"),
-                 stable_mean(df, c).alias(f"mean__{c}"),
-                 F.bround(F.stddev_samp(c), STAT_DECIMALS).alias(f"stddev__{c}"),
+                 F.avg(c).alias(f"_avg__{c}"),
+                 F.stddev_samp(c).alias(f"_sd__{c}"),
                  F.min(c).cast("double").alias(f"min__{c}"),
-                 F.max(c).cast("double").alias(f"max__{c}")]
+                 F.max(c).cast("double").alias(f"max__{c}"),
+                 # whole parts may overflow BIGINT at extreme scale: try_sum gives
+                 # NULL and the mean falls back to the plain average; fractions
+                 # are < 10^6 each and cannot overflow before 9.2e12 rows.
+                 F.try_sum(hi).alias(f"_hi__{c}"), F.sum(lo).alias(f"_lo__{c}"),
+                 F.max(odd.cast("int")).alias(f"_odd__{c}")]
     aggs += [F.min(date_col).cast("string").alias("date_min"),
              F.max(date_col).cast("string").alias("date_max")]
-    wide = df.rollup(group).agg(*aggs, F.grouping(group).cast("int").alias(TOTAL_LABEL_COL))
-    total_nulls = null_terms[0]
-    for t in null_terms[1:]:
-        total_nulls = total_nulls + t
-    return wide.withColumn("total_nulls", total_nulls)
+    # One row per group, written once as a table under the shared checkpoint
+    # directory: both the group rows and the total read it back, so the input
+    # is scanned and aggregated exactly once (an eager Dataset.checkpoint
+    # would run the aggregate twice: once to count, once to save).
+    spark = df.sparkSession
+    path = scratch_path(spark, "profile-groups")
+    df.groupBy(group).agg(*aggs).write.mode("overwrite").parquet(path)
+    groups = spark.read.parquet(path)
+
+    # Total row from the group rows. Variance merge (parallel algorithm):
+    # M2 = sum((n_g - 1) * sd_g^2) + sum(n_g * (avg_g - avg)^2).
+    # (a window over the group table: one row per group, so one small task)
+    everything = Window.partitionBy()
+    g2 = groups.select("*", *[(F.sum(F.col(f"count__{c}") * F.col(f"_avg__{c}")).over(everything)
+                               / F.sum(f"count__{c}").over(everything)).alias(f"_mu__{c}") for c in nums])
+    tot = [F.sum("row_count").alias("row_count")]
+    tot += [F.sum(f"nulls__{c}").cast("long").alias(f"nulls__{c}") for c in cols]
+    for c in nums:
+        n, a, sd, mu = F.col(f"count__{c}"), F.col(f"_avg__{c}"), F.col(f"_sd__{c}"), F.col(f"_mu__{c}")
+        m2 = F.sum(F.coalesce((n - 1) * sd * sd, F.lit(0.0)) + n * (a - mu) * (a - mu))
+        big_n = F.sum(n)
+        tot += [big_n.cast("long").alias(f"count__{c}"),
+                F.first(mu).alias(f"_avg__{c}"),
+                F.when(big_n > 1, F.sqrt(m2 / (big_n - 1))).alias(f"_sd__{c}"),
+                F.min(f"min__{c}").alias(f"min__{c}"), F.max(f"max__{c}").alias(f"max__{c}"),
+                F.try_sum(f"_hi__{c}").alias(f"_hi__{c}"), F.try_sum(f"_lo__{c}").alias(f"_lo__{c}"),
+                F.max(f"_odd__{c}").alias(f"_odd__{c}")]
+    tot += [F.min("date_min").alias("date_min"), F.max("date_max").alias("date_max")]
+    total = g2.agg(*tot).select(F.lit(None).cast(df.schema[group].dataType).alias(group), "*")
+
+    both = (groups.withColumn(TOTAL_LABEL_COL, F.lit(0))
+            .unionByName(total.withColumn(TOTAL_LABEL_COL, F.lit(1))))
+    out = [group, "row_count", *[f"nulls__{c}" for c in cols]]
+    for c in nums:
+        n = F.col(f"count__{c}")
+        out += [n.alias(f"count__{c}"),
+                stable_mean(F.col(f"_hi__{c}"), F.col(f"_lo__{c}"), n, F.col(f"_avg__{c}"),
+                            F.col(f"_odd__{c}") == 1).alias(f"mean__{c}"),
+                F.bround(F.col(f"_sd__{c}"), STAT_DECIMALS).alias(f"stddev__{c}"),
+                f"min__{c}", f"max__{c}"]
+    total_nulls = sum((F.col(f"nulls__{c}") for c in cols[1:]), F.col(f"nulls__{cols[0]}"))
+    return both.select(*out, "date_min", "date_max", F.col(TOTAL_LABEL_COL).cast("int").alias(TOTAL_LABEL_COL),
+                       total_nulls.cast("long").alias("total_nulls"))
 
 
 def profile_counts(wide: DataFrame, group: str) -> DataFrame:

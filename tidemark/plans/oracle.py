@@ -88,6 +88,14 @@ def _q(c: str) -> str:
     return f'"{c}"'
 
 
+def _exact_sum(c: str, k: str) -> str:
+    """Sum as whole part + millionths, both exact integer sums, in double."""
+    if k != "dbl":
+        return f"CAST(sum({_q(c)}) AS DOUBLE)"
+    return (f"(CAST(sum(CAST(floor({_q(c)}) AS BIGINT)) AS DOUBLE) + "
+            f"CAST(sum(CAST(round(({_q(c)} - floor({_q(c)})) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000.0)")
+
+
 def profile_wide_sql(src: str, cols: list[tuple[str, str]], group: str, date_col: str) -> str:
     parts = ["count(*) AS row_count"]
     nulls = []
@@ -98,8 +106,8 @@ def profile_wide_sql(src: str, cols: list[tuple[str, str]], group: str, date_col
     for c, k in cols:
         if k in ("dbl", "int") and c != group:
             parts += [f"count({_q(c)}) AS {_q('count__' + c)}",
-                      (f"CAST(round_even(CAST(CAST(sum(CAST({_q(c)} AS DECIMAL(38,{10 if k == 'dbl' else 0}))) AS DOUBLE)"
-                       f" / count({_q(c)}) AS DECIMAL(38,12)), 6) AS DOUBLE) AS {_q('mean__' + c)}"),
+                      f"CAST(round_even(CAST({_exact_sum(c, k)} / count({_q(c)}) AS DECIMAL(38,12)), 6) AS DOUBLE)"
+                      f" AS {_q('mean__' + c)}",
                       f"round_even(stddev_samp({_q(c)}), 6) AS {_q('stddev__' + c)}",
                       f"CAST(min({_q(c)}) AS DOUBLE) AS {_q('min__' + c)}",
                       f"CAST(max({_q(c)}) AS DOUBLE) AS {_q('max__' + c)}"]

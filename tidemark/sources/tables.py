@@ -11,3 +11,4 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     """Scan one table; selecting ``columns`` here keeps the Parquet ReadSchema narrow."""
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
+
