@@ -110,3 +110,16 @@ def test_invalid_bars_never_enter_the_window(spark):
     out = enrich_bars(_bars(spark, rows)).orderBy("date").collect()
     assert [r.date for r in out] == [f"2024-01-{d:02d}" for d in range(1, 9)]
     assert out[6].moving_avg_7 == 10.5
+
+
+def test_bars_half_open_bound_and_open_close_order(spark):
+    from datetime import datetime
+
+    from tidemark.sources.bars import aggregate_bars
+    ticks = spark.createDataFrame(
+        [(1, datetime(2024, 1, 1, 9, 0), 7, "A", 5.0), (2, datetime(2024, 1, 1, 9, 0), 7, "A", 6.0),  # same ts
+         (3, datetime(2024, 1, 1, 9, 30), 7, "A", 4.0), (4, datetime(2024, 1, 2, 0, 0), 7, "A", 9.0)],
+        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double")
+    (r,) = aggregate_bars(ticks, "day", start="2024-01-01", end="2024-01-02").collect()
+    # end exclusive: the tick at 2024-01-02 00:00 is outside; ties on ts broken by id
+    assert (r.date, r.open, r.high, r.low, r.close, r.volume) == ("2024-01-01", 5.0, 6.0, 4.0, 4.0, 3)

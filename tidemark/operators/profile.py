@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.scalar import null_display
 from tidemark.session import scratch_path
 
 STAT_DECIMALS = 6
@@ -174,6 +175,14 @@ def profile_describe(wide: DataFrame, group: str, numeric: list[str]) -> DataFra
             .select(group, TOTAL_LABEL_COL, "d.*"))
 
 
+def profile_describe_text(describe: DataFrame, group: str) -> DataFrame:
+    """Describe values as report text, one row per statistic; NULL shows as N/A."""
+    stats = ["count", "mean", "stddev", "min", "max"]
+    return describe.unpivot([group, TOTAL_LABEL_COL, "column"],
+                            [F.col(s).cast("string").alias(s) for s in stats], "stat", "value") \
+        .withColumn("value", null_display("value"))
+
+
 def profile_date_range(wide: DataFrame, group: str) -> DataFrame:
     return wide.select(group, TOTAL_LABEL_COL, "date_min", "date_max")
 

@@ -172,6 +172,13 @@ def q_profile_describe(spark, sf_dir):
     return P.profile_describe(P.profile_wide(df, "symbol"), "symbol", P.numeric_columns(df, ("symbol",)))
 
 
+@query("profile_describe_text")
+def q_profile_describe_text(spark, sf_dir):
+    df = profile_input(spark, sf_dir)
+    d = P.profile_describe(P.profile_wide(df, "symbol"), "symbol", P.numeric_columns(df, ("symbol",)))
+    return P.profile_describe_text(d, "symbol")
+
+
 @query("profile_date_range")
 def q_profile_date_range(spark, sf_dir):
     return P.profile_date_range(_profile_wide(spark, sf_dir), "symbol")

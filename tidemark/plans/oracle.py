@@ -244,3 +244,8 @@ SELECT op, CAST(sum(n) AS BIGINT) AS records, count(*) AS batches, {_r(_TOT, 0)}
   {_r(_TOT + ' / count(*)', 0)} AS avg_batch_ms, {_r('min(ms)', 1)} AS min_batch_ms, {_r('max(ms)', 1)} AS max_batch_ms,
   {_r('sum(n) / (' + _TOT + ' / 1000.0)', 1)} AS records_per_sec
 FROM Bt GROUP BY op"""
+
+_DESC = profile_describe_sql(PW, PROFILE_COLUMNS, "symbol")
+ORACLE["profile_describe_text"] = f"WITH D AS ({_DESC})\n" + "\nUNION ALL ".join(
+    f"SELECT symbol, is_total, \"column\", '{st}' AS stat, coalesce(CAST({st} AS VARCHAR), 'N/A') AS value FROM D"
+    for st in ("count", "mean", "stddev", "min", "max"))
