@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.functions.scalar import pct_change
 from tidemark.operators import analysis as A
 from tidemark.operators.indicators import enrich_bars
-from tidemark.sources.bars import bars
+from tidemark.sources.bars import bar_date, bars
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -525,4 +525,4 @@ def q_batch_assign(spark, sf_dir):
 @query("batch_throughput")
 def q_batch_throughput(spark, sf_dir):
     return R.batch_throughput(timings(spark, sf_dir), ["ts", "event_id"],
-                              bucket=F.date_format("ts", "yyyy-MM-dd"))
+                              bucket=bar_date("ts", "day"))

@@ -21,12 +21,10 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.tables import read_table
 
-# Fixed date formats per grain (string order equals time order).
-GRAIN_FORMATS = {
-    "day": "yyyy-MM-dd",
-    "hour": "yyyy-MM-dd HH",
-    "minute": "yyyy-MM-dd HH:mm",
-}
+# Date text per grain: the first N characters of the timestamp rendered as
+# 'yyyy-MM-dd HH:mm:ss' ('yyyy-MM-dd', 'yyyy-MM-dd HH', 'yyyy-MM-dd HH:mm').
+# String order equals time order.
+GRAIN_CHARS = {"day": 10, "hour": 13, "minute": 16}
 
 TICK_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value"]
 
@@ -54,6 +52,13 @@ def tick_order_key(ts: str = "ts", seq: str = "event_id") -> Column:
     return micros.cast("decimal(38,0)") * F.lit(str(10 ** 20)).cast("decimal(38,0)") + shifted
 
 
+def bar_date(ts: str, grain: str) -> Column:
+    """Wall-clock date text of a TIMESTAMP_NTZ at the grain. Casting NTZ to
+    text involves no time zone (date_format would go through the session
+    zone, which shifts hours inside a DST gap)."""
+    return F.substring(F.col(ts).cast("timestamp_ntz").cast("string"), 1, GRAIN_CHARS[grain])
+
+
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events", TICK_COLUMNS)
 
@@ -66,7 +71,6 @@ def aggregate_bars(tick_df: DataFrame, grain: str = "hour", symbol: str = "event
     bound is applied to the tick timestamp so it reaches the Parquet scan as a
     pushed filter.
     """
-    fmt = GRAIN_FORMATS[grain]
     t = tick_df
     if start is not None:
         t = t.filter(F.col("ts") >= F.to_timestamp_ntz(F.lit(start)))
@@ -75,7 +79,7 @@ def aggregate_bars(tick_df: DataFrame, grain: str = "hour", symbol: str = "event
     order = tick_order_key()
     return (
         t.select(symbol_column(symbol).alias("symbol"),
-                 F.date_format("ts", fmt).alias("date"), "ts", "event_id", "value")
+                 bar_date("ts", grain).alias("date"), "ts", "event_id", "value")
         .groupBy("symbol", "date")
         .agg(F.min_by("value", order).alias("open"),
              F.max("value").alias("high"),
