@@ -123,3 +123,20 @@ def test_bars_half_open_bound_and_open_close_order(spark):
     (r,) = aggregate_bars(ticks, "day", start="2024-01-01", end="2024-01-02").collect()
     # end exclusive: the tick at 2024-01-02 00:00 is outside; ties on ts broken by id
     assert (r.date, r.open, r.high, r.low, r.close, r.volume) == ("2024-01-01", 5.0, 6.0, 4.0, 4.0, 3)
+
+
+def test_hot_symbol_is_split_over_tasks(spark):
+    """One symbol holding most rows must not land in a single window task."""
+    rows = [("HOT", f"{2000 + i // 12:04d}-{1 + i % 12:02d}-01", 10.0, 11.0, 9.0, 10.5, 100) for i in range(600)]
+    rows += [("COLD", "2024-01-01", 10.0, 11.0, 9.0, 10.5, 100)]
+    b = _bars(spark, rows)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keep the 8 shuffle partitions visible
+    try:
+        from tidemark.operators import indicators as I
+        out = I.enrich(b, bucket_chars=4)  # one bucket per year: 50 buckets for HOT
+        parts = (out.filter(F.col("symbol") == "HOT").select(F.spark_partition_id().alias("p"))
+                 .distinct().count())
+        assert parts > 1
+        assert sorted(map(tuple, out.collect())) == sorted(map(tuple, enrich_by_symbol(b).collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

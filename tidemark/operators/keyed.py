@@ -26,11 +26,17 @@ KEY = ["symbol", "date"]
 
 
 def latest_per_key(changes: DataFrame, seq: str = "seq", key: list[str] = KEY) -> DataFrame:
-    """The change with the highest ``seq`` per key (ties: the row that sorts
-    last on the remaining columns is not defined; ``seq`` should be unique)."""
-    payload = [c for c in changes.columns if c not in key]
-    picked = changes.groupBy(*key).agg(F.max_by(F.struct(*payload), F.col(seq)).alias("_r"))
-    return picked.select(*key, *[F.col(f"_r.{c}").alias(c) for c in payload])
+    """The change with the highest ``seq`` per key.
+
+    One ``max_by(column, seq)`` per column: with ``seq`` unique per key (an
+    arrival sequence) they all pick the same change, and NULLs of that change
+    are kept. Primitive buffers keep this a hash aggregate with map-side
+    partial aggregation (a struct-valued ``max_by`` would force a sort-based
+    aggregate over the whole change batch).
+    """
+    payload = [c for c in changes.columns if c not in key and c != seq]
+    return changes.groupBy(*key).agg(*[F.max_by(c, seq).alias(c) for c in payload],
+                                     F.max(seq).alias(seq))
 
 
 def upsert_latest(table: DataFrame, changes: DataFrame, seq: str = "seq",

@@ -324,8 +324,9 @@ def q_delete_by_key(spark, sf_dir):
 
 @query("delete_by_prefix")
 def q_delete_by_prefix(spark, sf_dir):
-    symbols = [r[0] for r in A.distinct_symbols(stored_table(spark, sf_dir)).collect()]
-    return K.delete_by_prefix(after_deletes(spark, sf_dir), BENCH_PREFIX, symbols)
+    # The cleanup covers every symbol of the table (symbols=None), so no
+    # symbol list has to be gathered on the driver.
+    return K.delete_by_prefix(after_deletes(spark, sf_dir), BENCH_PREFIX)
 
 
 @query("symbol_scan")
