@@ -69,12 +69,20 @@ def enrich_by_symbol(bars: DataFrame) -> DataFrame:
     return _finish(df, F.col("_csum"), F.col("_vsum"), F.col("_rows")).select(*ENRICHED_COLUMNS)
 
 
-def enrich(bars: DataFrame, bucket_chars: int = DEFAULT_BUCKET_CHARS) -> DataFrame:
-    """Skew-safe enrichment: window per (symbol, date bucket) plus a halo join."""
-    order = _order_cols(bars)
+def enrich(bars: DataFrame, bucket_chars: int = DEFAULT_BUCKET_CHARS, order: list[str] | None = None,
+           bucket: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Skew-safe enrichment: window per (symbol, bucket) plus a halo join.
+
+    ``order`` defaults to (date[, seq]) and ``bucket`` to the first
+    ``bucket_chars`` characters of the date; any ``bucket`` works whose order
+    agrees with ``order`` (e.g. ``floor(seq / n)`` when ordering by ``seq``).
+    ``keep`` names extra input columns carried to the output.
+    """
+    order = order or _order_cols(bars)
+    bucket = bucket if bucket is not None else F.substring("date", 1, bucket_chars)
     # Explicit non-null keys: the joins below would otherwise infer them for
     # some branches only, and branches that differ cannot reuse one exchange.
-    base = (bars.withColumn("_b", F.substring("date", 1, bucket_chars))
+    base = (bars.withColumn("_b", bucket)
                 .filter(F.col("symbol").isNotNull() & F.col("_b").isNotNull()))
 
     wb = Window.partitionBy("symbol", "_b").orderBy(*order)
@@ -113,7 +121,8 @@ def enrich(bars: DataFrame, bucket_chars: int = DEFAULT_BUCKET_CHARS) -> DataFra
     halo_vol = F.aggregate(frame, F.lit(0).cast("long"), lambda a, x: a + x["volume"])
     head = _finish(head, halo_close + F.col("_csum"), halo_vol + F.col("_vsum"), take + F.col("_rows"))
 
-    return body.select(*ENRICHED_COLUMNS).unionByName(head.select(*ENRICHED_COLUMNS))
+    out = [*ENRICHED_COLUMNS, *[c for c in keep if c not in ENRICHED_COLUMNS]]
+    return body.select(*out).unionByName(head.select(*out))
 
 
 def valid_bars(bars: DataFrame) -> DataFrame:

@@ -527,3 +527,18 @@ def q_batch_assign(spark, sf_dir):
 def q_batch_throughput(spark, sf_dir):
     return R.batch_throughput(timings(spark, sf_dir), ["ts", "event_id"],
                               bucket=bar_date("ts", "day"))
+
+
+from tidemark.streaming import bucketed as SB  # noqa: E402
+
+
+@query("stream_enrich_bucketed")
+def q_stream_enrich_bucketed(spark, sf_dir):
+    # Same rows as stream_enrich; each micro-batch runs the skew-safe window
+    # plan over (saved tails + batch) instead of a per-symbol state fold.
+    valid = VAL.valid_part(_classified_stream(spark, sf_dir), ["seq"])
+    state, out, ckpt = (scratch_path(spark, n) for n in ("enrich-state", "enrich-out", "enrich-ckpt"))
+    q = (valid.writeStream.foreachBatch(SB.bucketed_sink(state, out))
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return SB.read_output(spark, out)

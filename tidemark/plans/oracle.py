@@ -249,3 +249,4 @@ _DESC = profile_describe_sql(PW, PROFILE_COLUMNS, "symbol")
 ORACLE["profile_describe_text"] = f"WITH D AS ({_DESC})\n" + "\nUNION ALL ".join(
     f"SELECT symbol, is_total, \"column\", '{st}' AS stat, coalesce(CAST({st} AS VARCHAR), 'N/A') AS value FROM D"
     for st in ("count", "mean", "stddev", "min", "max"))
+ORACLE["stream_enrich_bucketed"] = E
