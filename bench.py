@@ -25,7 +25,7 @@ HEADLINE = [
     "ohlcv_bars", "enrich", "enrich_users", "enrich_daily", "summary_totals", "anomaly_counts",
     "sort_symbol_date", "profile_combined", "profile_lineitem", "csv_scan_clean", "json_decode",
     "upsert_latest", "partial_update", "delete_by_key", "symbol_date_range", "point_lookup",
-    "latency_summary", "batch_throughput", "stream_enrich", "stream_upsert",
+    "latency_summary", "batch_throughput", "stream_enrich", "stream_enrich_bucketed", "stream_upsert",
 ]
 
 
