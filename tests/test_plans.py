@@ -35,4 +35,4 @@ def test_range_read_prunes_partitions_and_pushes_filters(spark):
 
 def test_profile_single_scan(spark):
     p = QUERIES["profile_combined"](spark, SF_SMOKE)._jdf.queryExecution().executedPlan().toString()
-    assert "Expand" in p
+    assert "events.parquet" not in p and "profile-groups" in p
