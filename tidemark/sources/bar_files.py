@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import is_numeric_text
 from tidemark.schemas import RAW_BAR, RAW_BAR_COLUMNS, RAW_NUMERIC_COLUMNS
+from tidemark.sources.fs import exists
 
 FILE_SYMBOL = "file_symbol"  # directory partition column naming the file's symbol
 
@@ -53,12 +54,9 @@ def write_bar_files(bars: DataFrame, path: str) -> str:
 
 def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
     """Keep the paths that exist (a missing file is skipped, like the publisher)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     keep = []
     for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        if hp.getFileSystem(conf).exists(hp):
+        if exists(spark, p):
             keep.append(p)
         else:
             print(f"WARNING: {p} not found - skipping")

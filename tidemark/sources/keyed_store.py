@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import to_computed_decimal, to_price_decimal
+from tidemark.sources.fs import committed_dirs
 from tidemark.schemas import ENRICHED_COLUMNS
 
 PRICE_COLUMNS = ["open", "high", "low", "close"]
@@ -47,24 +48,9 @@ def from_sink_types(df: DataFrame) -> DataFrame:
                        for c in df.columns])
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Complete versions under ``root`` (directories with a _SUCCESS marker)."""
-    fs, p, jvm = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v="):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-    return sorted(out)
+    return sorted(int(name[2:]) for name in committed_dirs(spark, root, "v="))
 
 
 def version_path(root: str, version: int) -> str:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.indicators import HALO, enrich
 from tidemark.schemas import BAR, BAR_COLUMNS, ENRICHED_COLUMNS
+from tidemark.sources.fs import committed_dirs
 
 # Arrival-sequence range per bucket.
 SEQ_BUCKET = 4096
@@ -31,17 +32,7 @@ STATE_SCHEMA = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in BAR.f
 
 
 def _complete_batches(spark: SparkSession, root: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("batch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[6:]))
-    return sorted(out)
+    return sorted(int(name[6:]) for name in committed_dirs(spark, root, "batch="))
 
 
 def previous_tails(spark: SparkSession, state_root: str, batch_id: int) -> DataFrame:

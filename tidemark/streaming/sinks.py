@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.keyed import KEY, latest_per_key
 from tidemark.schemas import ENRICHED_COLUMNS
 from tidemark.session import checkpoint_root
+from tidemark.sources.fs import child_dirs
 from tidemark.sources.keyed_store import from_sink_types, to_sink_types
 
 PART_CHARS = 7  # 'yyyy-MM': partition unit of the live table
@@ -44,13 +45,9 @@ def _read_live(spark, root: str) -> DataFrame:
 
 
 def _has_data(spark, root: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     # Dynamic partition overwrite does not leave a _SUCCESS marker at the
     # root, so look for committed partition directories instead.
-    return fs.exists(p) and any(st.isDirectory() and st.getPath().getName().startswith("symbol=")
-                                for st in fs.listStatus(p))
+    return bool(child_dirs(spark, root, "symbol="))
 
 
 def merge_partitions(changes: DataFrame, root: str, seq: str = "seq",
