@@ -75,8 +75,19 @@ def positions(df: DataFrame, order: list[str], within: list[str] | None = None,
 
 
 def sort_symbol_date(df: DataFrame, bucket_chars: int = 7) -> DataFrame:
-    """Rows in (symbol, date) order with their 1-based global position ``pos``;
-    the final ``orderBy`` is a range-partitioned distributed sort."""
-    ordered = positions(df.select("symbol", "date", "close"), ["symbol", "date"],
-                        bucket=F.struct(F.col("symbol"), F.substring("date", 1, bucket_chars)))
-    return ordered.select("pos", "symbol", "date", "close").orderBy("symbol", "date")
+    """Rows in (symbol, date) order with their 1-based global position ``pos``.
+
+    Two levels, so no single task sees more than one row per symbol: the
+    position inside the symbol (bucketed, see ``positions``) plus the symbol's
+    offset, a running sum over the per-symbol row counts. The final
+    ``orderBy`` is a range-partitioned distributed sort.
+    """
+    rows = df.select("symbol", "date", "close")
+    inside = positions(rows, ["date"], within=["symbol"], bucket=F.substring("date", 1, bucket_chars),
+                       name="_in")
+    offsets = (rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("_cnt"))
+               .select("symbol", F.coalesce(F.sum("_cnt").over(
+                   Window.orderBy("symbol").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off")))
+    return (inside.join(offsets, "symbol")
+            .select((F.col("_off") + F.col("_in")).cast("long").alias("pos"), "symbol", "date", "close")
+            .orderBy("symbol", "date"))
