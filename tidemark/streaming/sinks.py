@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.keyed import KEY, latest_per_key
 from tidemark.schemas import ENRICHED_COLUMNS
-from tidemark.session import checkpoint_root
+from tidemark.session import scratch_path
 from tidemark.sources.fs import child_dirs
 from tidemark.sources.keyed_store import from_sink_types, to_sink_types
 
@@ -54,7 +54,6 @@ def merge_partitions(changes: DataFrame, root: str, seq: str = "seq",
                      columns: list[str] = ENRICHED_COLUMNS) -> None:
     """Upsert ``changes`` (columns + ``seq``) into the live table at ``root``."""
     spark = changes.sparkSession
-    checkpoint_root(spark)  # makes sure a reliable checkpoint directory is set
     ch = latest_per_key(changes.select(*columns, seq), seq).withColumn("part", F.substring("date", 1, PART_CHARS))
     if _has_data(spark, root):
         existing = _read_live(spark, root)
@@ -65,10 +64,14 @@ def merge_partitions(changes: DataFrame, root: str, seq: str = "seq",
         merged = old.unionByName(ch.select(*columns, "part"))
     else:
         merged = ch.select(*columns, "part")
-    # Cut the lineage to the files about to be replaced (reliable checkpoint
-    # in the shared checkpoint directory), then replace touched partitions.
-    merged = to_sink_types(merged).checkpoint(eager=True)
-    (merged.repartitionByRange("symbol", "part", "date")
+    # Cut the lineage to the files about to be replaced: write the merged rows
+    # once under the shared checkpoint directory and read them back (an eager
+    # Dataset.checkpoint would compute the merge twice), then replace the
+    # touched partitions.
+    staged = scratch_path(spark, "merge")
+    to_sink_types(merged).write.mode("overwrite").parquet(staged)
+    (spark.read.parquet(staged)
+     .repartitionByRange("symbol", "part", "date")
      .sortWithinPartitions("symbol", "part", "date")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("symbol", "part").parquet(root))
