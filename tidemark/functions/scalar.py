@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.schemas import (ANOMALY_PCT, COMPUTED_DECIMAL, NUMERIC_ROW_PATTERN, PCT_DECIMALS,
-                              PRICE_DECIMAL, SPIKE_FACTOR)
+from tidemark.schemas import (ANOMALY_PCT, BENCH_KEY_DAYS, BENCH_KEY_PER_MONTH, BENCH_KEY_YEAR, BENCH_PREFIX,
+                              COMPUTED_DECIMAL, NUMERIC_ROW_PATTERN, PCT_DECIMALS, PRICE_DECIMAL, SPIKE_FACTOR)
 
 
 def _c(x) -> Column:
@@ -55,8 +55,10 @@ def null_display(x) -> Column:
     return F.coalesce(_c(x).cast("string"), F.lit("N/A"))
 
 
-def bench_date_key(i, year: int = 2019, per_month: int = 30, days: int = 28) -> Column:
+def bench_date_key(i, year: int = BENCH_KEY_YEAR, per_month: int = BENCH_KEY_PER_MONTH,
+                   days: int = BENCH_KEY_DAYS) -> Column:
     """Synthetic benchmark sort key for integer ``i``: BENCH-<year>-MM-DD with
     MM = i div per_month + 1 and DD = i mod days + 1, both zero padded."""
     i = _c(i).cast("long")
-    return F.format_string(f"BENCH-{year}-%02d-%02d", F.floor(i / per_month) + 1, F.pmod(i, F.lit(days)) + 1)
+    return F.format_string(f"{BENCH_PREFIX}{year}-%02d-%02d", F.floor(i / per_month) + 1,
+                           F.pmod(i, F.lit(days)) + 1)

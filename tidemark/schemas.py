@@ -21,8 +21,12 @@ NUMERIC_ROW_PATTERN = r"^-?\d+(\.\d+)?$"
 RAW_BAR_COLUMNS = ["Date", "Close", "High", "Low", "Open", "Volume", "symbol"]
 # Numeric columns of a raw bar file.
 RAW_NUMERIC_COLUMNS = ["Open", "High", "Low", "Close", "Volume"]
-# Prefix that marks synthetic benchmark keys in the keyed table.
+# Prefix that marks synthetic benchmark keys in the keyed table, and the key
+# rule for integer i: BENCH-<year>-MM-DD, MM = i div 30 + 1, DD = i mod 28 + 1.
 BENCH_PREFIX = "BENCH-"
+BENCH_KEY_YEAR = 2019
+BENCH_KEY_PER_MONTH = 30
+BENCH_KEY_DAYS = 28
 # Chunk size of the batched writer.
 WRITE_BATCH_SIZE = 25
 # Message field names: (lower-case name, capitalised name). Presence of the
