@@ -385,9 +385,11 @@ def q_csv_scan_clean(spark, sf_dir):
 
 @query("multi_file_scan")
 def q_multi_file_scan(spark, sf_dir):
+    # One path per symbol file (listed from storage metadata, no job), checked
+    # for existence, then all read by a single scan.
+    from tidemark.sources.fs import child_dirs
     root = bar_files_path(spark, sf_dir)
-    symbols = [r[0] for r in A.distinct_symbols(bars(spark, sf_dir)).orderBy("symbol").collect()]
-    paths = BF.existing_paths(spark, [f"{root}/{BF.FILE_SYMBOL}={s}" for s in symbols])
+    paths = BF.existing_paths(spark, [f"{root}/{d}" for d in sorted(child_dirs(spark, root, BF.FILE_SYMBOL + "="))])
     return BF.clean_bars(BF.scan_bar_files(spark, paths))
 
 
