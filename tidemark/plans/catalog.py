@@ -10,11 +10,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import pct_change
+from tidemark.functions.scalar import bench_date_key, pct_change, round_half_even
 from tidemark.operators import analysis as A
+from tidemark.operators import keyed as K
+from tidemark.operators import profile as P
+from tidemark.operators import rollups as R
+from tidemark.operators import validate as VAL
 from tidemark.operators.indicators import enrich_bars
+from tidemark.schemas import BAR_COLUMNS, BENCH_PREFIX, ENRICHED_COLUMNS, RAW_BAR_COLUMNS
+from tidemark.session import scratch_path
+from tidemark.sources import bar_files as BF
+from tidemark.sources import keyed_store as KS
+from tidemark.sources import messages as MSG
+from tidemark.sources.fs import child_dirs
 from tidemark.sources.bars import bar_date, bars
+from tidemark.sources.tables import read_table
+from tidemark.streaming import bucketed as SB
+from tidemark.streaming import enrich_state as ST
+from tidemark.streaming import sinks as SK
+from tidemark.streaming import source as SRC
+
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -141,8 +158,6 @@ def q_sort_symbol_date(spark, sf_dir):
 
 
 # --- profile ------------------------------------------------------------------
-from tidemark.operators import profile as P  # noqa: E402
-from tidemark.schemas import RAW_BAR_COLUMNS  # noqa: E402
 
 
 def profile_input(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,7 +220,6 @@ LINEITEM_PROFILE_DATE = "l_shipdate"
 
 @query("profile_lineitem")
 def q_profile_lineitem(spark, sf_dir):
-    from tidemark.sources.tables import read_table
     li = read_table(spark, sf_dir, "lineitem")
     wide = P.profile_wide(li, LINEITEM_PROFILE_GROUP, LINEITEM_PROFILE_DATE)
     return P.profile_describe(wide, LINEITEM_PROFILE_GROUP, P.numeric_columns(li, (LINEITEM_PROFILE_GROUP,)))
@@ -213,21 +227,13 @@ def q_profile_lineitem(spark, sf_dir):
 
 @query("profile_lineitem_nulls")
 def q_profile_lineitem_nulls(spark, sf_dir):
-    from tidemark.sources.tables import read_table
     li = read_table(spark, sf_dir, "lineitem")
     wide = P.profile_wide(li, LINEITEM_PROFILE_GROUP, LINEITEM_PROFILE_DATE)
     return P.profile_nulls(wide, LINEITEM_PROFILE_GROUP, li.columns)
 
 
 # --- keyed table ----------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
 
-from tidemark.functions.scalar import bench_date_key, round_half_even  # noqa: E402
-from tidemark.operators import keyed as K  # noqa: E402
-from tidemark.schemas import BAR_COLUMNS, BENCH_PREFIX, ENRICHED_COLUMNS  # noqa: E402
-from tidemark.session import scratch_path  # noqa: E402
-from tidemark.sources import keyed_store as KS  # noqa: E402
-from tidemark.sources.tables import read_table  # noqa: E402
 
 _STORES: dict[tuple, str] = {}
 
@@ -350,9 +356,6 @@ def q_point_lookup(spark, sf_dir):
 
 
 # --- ingest: raw files, messages, rejects ----------------------------------------
-from tidemark.operators import validate as VAL  # noqa: E402
-from tidemark.sources import bar_files as BF  # noqa: E402
-from tidemark.sources import messages as MSG  # noqa: E402
 
 
 def _cached_path(spark: SparkSession, sf_dir: str, name: str, writer) -> str:
@@ -387,7 +390,6 @@ def q_csv_scan_clean(spark, sf_dir):
 def q_multi_file_scan(spark, sf_dir):
     # One path per symbol file (listed from storage metadata, no job), checked
     # for existence, then all read by a single scan.
-    from tidemark.sources.fs import child_dirs
     root = bar_files_path(spark, sf_dir)
     paths = BF.existing_paths(spark, [f"{root}/{d}" for d in sorted(child_dirs(spark, root, BF.FILE_SYMBOL + "="))])
     return BF.clean_bars(BF.scan_bar_files(spark, paths))
@@ -441,9 +443,6 @@ def q_date_parse(spark, sf_dir):
 
 
 # --- streaming --------------------------------------------------------------------
-from tidemark.streaming import enrich_state as ST  # noqa: E402
-from tidemark.streaming import sinks as SK  # noqa: E402
-from tidemark.streaming import source as SRC  # noqa: E402
 
 FILES_PER_TRIGGER = 8
 
@@ -504,7 +503,6 @@ def q_stream_upsert(spark, sf_dir):
 
 
 # --- rollups ----------------------------------------------------------------------
-from tidemark.operators import rollups as R  # noqa: E402
 
 
 def timings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -531,9 +529,6 @@ def q_batch_throughput(spark, sf_dir):
                               bucket=bar_date("ts", "day"))
 
 
-from tidemark.streaming import bucketed as SB  # noqa: E402
-
-
 @query("stream_enrich_bucketed")
 def q_stream_enrich_bucketed(spark, sf_dir):
     # Same rows as stream_enrich; each micro-batch runs the skew-safe window
