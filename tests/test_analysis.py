@@ -31,3 +31,16 @@ def test_positions_are_gap_free_in_order(spark):
     for lst in by.values():
         lst.sort()
         assert [p for _, p in lst] == list(range(1, len(lst) + 1))
+
+
+def test_nested_bucket_positions_on_ticks(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_type", "ts", "event_id")
+    text = F.col("ts").cast("string")
+    got = A.positions(ev, ["ts", "event_id"], within=["event_type"],
+                      buckets=[F.substring(text, 1, 10), F.substring(text, 1, 13), F.substring(text, 1, 19)]).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.event_type, []).append((r.ts, r.event_id, r.pos))
+    for lst in by.values():
+        lst.sort()
+        assert [p for *_, p in lst] == list(range(1, len(lst) + 1))

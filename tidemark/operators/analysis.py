@@ -51,27 +51,45 @@ def distinct_symbols(enriched: DataFrame) -> DataFrame:
 
 
 def positions(df: DataFrame, order: list[str], within: list[str] | None = None,
-              bucket: Column | None = None, name: str = "pos") -> DataFrame:
+              bucket: Column | None = None, name: str = "pos",
+              buckets: list[Column] | None = None) -> DataFrame:
     """1-based position of every row in ``order`` (per ``within`` group, or
-    over the whole frame), without a single-task window.
-
-    Rows are ranked inside (group, bucket), where ``bucket`` is a coarse,
-    order-preserving prefix of the ordering (default: the first 7 characters
-    of the first order column). A running sum over the per-bucket row counts
-    (one row per group and bucket, far smaller than the data) gives each
-    bucket's offset. Data rows are shuffled once, on (group, bucket).
+    over the whole frame), without a window over a whole group.
+
+    ``buckets`` are nested, order-preserving coarsenings of the ordering,
+    coarse to fine (e.g. hour, then second of a timestamp); ``bucket`` is the
+    single-level shorthand (default: the first 7 characters of the first
+    order column). A row's position is the rank inside its finest bucket plus,
+    for every level, the running count of the earlier buckets of that level
+    inside the enclosing bucket. Each running count is a window over a count
+    table partitioned by the enclosing bucket, so every window is bounded by
+    the bucket granularity, not by the size of a group. Rows are shuffled
+    once, on (group, finest bucket). Without ``within`` the top level runs
+    in one task over the per-bucket counts.
     """
     within = within or []
-    bucket = bucket if bucket is not None else F.substring(F.col(order[0]).cast("string"), 1, 7)
-    b = df.withColumn("_pb", bucket)
-    counts = b.groupBy(*within, "_pb").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.orderBy(*within, "_pb") if not within else Window.partitionBy(*within).orderBy("_pb")
-    offsets = (counts.withColumn("_off", F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)))
-               .select(*within, "_pb", F.coalesce("_off", F.lit(0)).alias("_off")))
-    ranked = b.withColumn("_rn", F.row_number().over(Window.partitionBy(*within, "_pb").orderBy(*order)))
-    return (ranked.join(offsets, [*within, "_pb"])
-            .withColumn(name, (F.col("_off") + F.col("_rn")).cast("long"))
-            .drop("_pb", "_off", "_rn"))
+    if buckets is None:
+        buckets = [bucket if bucket is not None else F.substring(F.col(order[0]).cast("string"), 1, 7)]
+    names = [f"_pb{i}" for i in range(len(buckets))]
+    b = df
+    for n, expr in zip(names, buckets):
+        b = b.withColumn(n, expr)
+    counts = b.groupBy(*within, *names).agg(F.count(F.lit(1)).alias("_cnt"))
+    pos = F.lit(0).cast("long")
+    offsets = None
+    for level in range(len(names)):
+        outer = within + names[:level]
+        level_counts = counts.groupBy(*outer, names[level]).agg(F.sum("_cnt").alias("_lc"))
+        w = (Window.partitionBy(*outer) if outer else Window.partitionBy()).orderBy(names[level])
+        off = level_counts.select(*outer, names[level], F.coalesce(
+            F.sum("_lc").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"_off{level}"))
+        # a finer level joins the coarser offsets on its enclosing bucket
+        offsets = off if offsets is None else off.join(offsets, outer)
+        pos = pos + F.col(f"_off{level}")
+    ranked = b.withColumn("_rn", F.row_number().over(Window.partitionBy(*within, *names).orderBy(*order)))
+    return (ranked.join(offsets, [*within, *names])
+            .withColumn(name, (pos + F.col("_rn")).cast("long"))
+            .drop(*names, *[f"_off{i}" for i in range(len(names))], "_rn"))
 
 
 def sort_symbol_date(df: DataFrame, bucket_chars: int = 7) -> DataFrame:

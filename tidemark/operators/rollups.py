@@ -41,9 +41,9 @@ def latency_summary(timings: DataFrame, op: str = "op", ms: str = "elapsed_ms")
 
 
 def batch_assign(items: DataFrame, within: list[str], order: list[str], bucket: Column | None = None,
-                 size: int = WRITE_BATCH_SIZE) -> DataFrame:
+                 size: int = WRITE_BATCH_SIZE, buckets: list[Column] | None = None) -> DataFrame:
     """Chunk each group's rows, in ``order``, into batches of ``size``."""
-    pos = positions(items, order, within=within, bucket=bucket, name="_pos")
+    pos = positions(items, order, within=within, bucket=bucket, name="_pos", buckets=buckets)
     return pos.withColumn("batch", F.floor((F.col("_pos") - 1) / size).cast("long")).drop("_pos")
 
 
@@ -58,10 +58,11 @@ def batch_summary(items: DataFrame, within: list[str], order: list[str], bucket:
 
 
 def batch_throughput(timings: DataFrame, order: list[str], op: str = "op", ms: str = "elapsed_ms",
-                     bucket: Column | None = None, size: int = WRITE_BATCH_SIZE) -> DataFrame:
+                     bucket: Column | None = None, size: int = WRITE_BATCH_SIZE,
+                     buckets: list[Column] | None = None) -> DataFrame:
     """Batched-write summary per op: records, batches, total time, average
     batch time (0 dp), fastest/slowest batch (1 dp) and records per second."""
-    per_batch = (batch_assign(timings, [op], order, bucket, size)
+    per_batch = (batch_assign(timings, [op], order, bucket, size, buckets)
                  .groupBy(op, "batch")
                  .agg(F.count(F.lit(1)).alias("_n"), exact_sum(ms).alias("_ms")))
     total = F.sum("_ms").cast("double")
