@@ -140,3 +140,33 @@ def test_hot_symbol_is_split_over_tasks(spark):
         assert sorted(map(tuple, out.collect())) == sorted(map(tuple, enrich_by_symbol(b).collect()))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_series = st.lists(st.tuples(st.integers(1, 40), st.integers(100, 50000), st.integers(-500, 500),
+                             st.integers(0, 10 ** 6)), min_size=0, max_size=40)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(_series, min_size=1, max_size=3), st.sampled_from([1, 4, 6, 7, 9, 10]))
+def test_property_halo_equals_per_symbol(spark, series, bucket_chars):
+    rows = []
+    for s, pts in enumerate(series):
+        day = 0
+        for gap, o, delta, v in pts:
+            day += gap
+            o_ = o / 100
+            c_ = max(0.01, round(o_ + delta / 100, 2))
+            rows.append((f"S{s}", f"{2000 + day // 365:04d}-{1 + (day // 28) % 12:02d}-{1 + day % 28:02d}",
+                         o_, max(o_, c_), min(o_, c_), c_, v))
+    # keys must be unique per (symbol, date)
+    seen, uniq = set(), []
+    for r in rows:
+        if (r[0], r[1]) not in seen:
+            seen.add((r[0], r[1]))
+            uniq.append(r)
+    b = _bars(spark, uniq)
+    assert sorted(map(tuple, enrich(b, bucket_chars).collect())) == \
+        sorted(map(tuple, enrich_by_symbol(b).collect()))
