@@ -51,7 +51,7 @@ def _order_cols(df: DataFrame) -> list[str]:
     return ["date", "seq"] if "seq" in df.columns else ["date"]
 
 
-def _finish(df: DataFrame, close_sum: Column, vol_sum: Column, rows: Column) -> DataFrame:
+def finish_indicators(df: DataFrame, close_sum: Column, vol_sum: Column, rows: Column) -> DataFrame:
     """Derive the four indicator columns from trailing sums and frame size."""
     ma = F.when(rows == WINDOW_ROWS, round_half_even(close_sum / F.lit(float(WINDOW_ROWS)), MA_DECIMALS))
     return (df.withColumn("pct_change", pct_change())
@@ -66,7 +66,7 @@ def enrich_by_symbol(bars: DataFrame) -> DataFrame:
     df = (bars.withColumn("_csum", F.sum("close").over(w))
               .withColumn("_vsum", F.sum("volume").over(w))
               .withColumn("_rows", F.count(F.lit(1)).over(w)))
-    return _finish(df, F.col("_csum"), F.col("_vsum"), F.col("_rows")).select(*ENRICHED_COLUMNS)
+    return finish_indicators(df, F.col("_csum"), F.col("_vsum"), F.col("_rows")).select(*ENRICHED_COLUMNS)
 
 
 def enrich(bars: DataFrame, bucket_chars: int = DEFAULT_BUCKET_CHARS, order: list[str] | None = None,
@@ -96,7 +96,7 @@ def enrich(bars: DataFrame, bucket_chars: int = DEFAULT_BUCKET_CHARS, order: lis
                   .withColumn("_rows", F.count(F.lit(1)).over(trailing)))
 
     # Rows past the first 6 of their bucket already have their whole frame.
-    body = _finish(staged.filter(F.col("_rn") > HALO),
+    body = finish_indicators(staged.filter(F.col("_rn") > HALO),
                    F.col("_csum"), F.col("_vsum"), F.col("_rows"))
 
     # Tails: the last <= 6 rows of every bucket. In the time-ordered sequence
@@ -119,7 +119,7 @@ def enrich(bars: DataFrame, bucket_chars: int = DEFAULT_BUCKET_CHARS, order: lis
     frame = F.slice(h, F.size(h) - take + 1, take)
     halo_close = F.aggregate(frame, F.lit(0.0), lambda a, x: a + x["close"])
     halo_vol = F.aggregate(frame, F.lit(0).cast("long"), lambda a, x: a + x["volume"])
-    head = _finish(head, halo_close + F.col("_csum"), halo_vol + F.col("_vsum"), take + F.col("_rows"))
+    head = finish_indicators(head, halo_close + F.col("_csum"), halo_vol + F.col("_vsum"), take + F.col("_rows"))
 
     out = [*ENRICHED_COLUMNS, *[c for c in keep if c not in ENRICHED_COLUMNS]]
     return body.select(*out).unionByName(head.select(*out))

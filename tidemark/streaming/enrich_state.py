@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from tidemark.operators.indicators import HALO, WINDOW_ROWS, _finish
+from tidemark.operators.indicators import HALO, WINDOW_ROWS, finish_indicators
 from tidemark.schemas import ENRICHED_COLUMNS
 
 STATE_SCHEMA = "closes array<double>, volumes array<bigint>"
@@ -82,4 +82,4 @@ def stream_enrich(valid: DataFrame) -> DataFrame:
               .groupBy("symbol")
               .applyInPandasWithState(fold_symbol, FOLD_SCHEMA, STATE_SCHEMA, "append",
                                       GroupStateTimeout.NoTimeout))
-    return _finish(folded, F.col("_csum"), F.col("_vsum"), F.col("_rows")).select(*ENRICHED_COLUMNS, "seq")
+    return finish_indicators(folded, F.col("_csum"), F.col("_vsum"), F.col("_rows")).select(*ENRICHED_COLUMNS, "seq")
