@@ -30,3 +30,17 @@ def test_profile_is_one_scan(spark):
     assert "lineitem.parquet" not in plan
     assert "profile-groups" in plan
     assert "Expand" not in plan
+
+
+def test_date_fallback_and_nonzero_nulls(spark):
+    df = spark.createDataFrame([("2024-01-02", "A", 1.0), ("2024-01-01", "A", None), ("2024-01-05", "B", 2.0)],
+                               "day string, symbol string, Close double")
+    assert P.resolve_date_column(df) == "day"           # no 'Date' column: the first column
+    wide = P.profile_wide(df, "symbol")
+    tot = [r for r in wide.collect() if r.is_total == 1][0]
+    assert (tot.date_min, tot.date_max) == ("2024-01-01", "2024-01-05")
+    nz = {(r.symbol, r.column): r.nulls for r in P.profile_nulls(wide, "symbol", df.columns, only_nonzero=True)
+          .collect()}
+    assert nz == {("A", "Close"): 1, (None, "Close"): 1}
+    schema = {r.column: r.type for r in P.profile_schema(df).collect()}
+    assert schema == {"day": "string", "symbol": "string", "Close": "double"}
