@@ -17,6 +17,8 @@ because floating sums depend on the partition layout in their last bits.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +30,23 @@ STAT_DECIMALS = 6
 TOTAL_LABEL_COL = "is_total"
 
 
+@contextmanager
+def _at_least(spark, key: str, value: int):
+    """Temporarily raise an integer session setting to ``value``."""
+    old = spark.conf.get(key, None)
+    raise_it = old is None or int(old) < value
+    if raise_it:
+        spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        if raise_it:
+            if old is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, old)
+
+
 def null_predicate(df: DataFrame, c: str) -> Column:
     dt = df.schema[c].dataType
     if isinstance(dt, (T.DoubleType, T.FloatType)):
@@ -93,12 +112,16 @@ def profile_wide(df: DataFrame, group: str, date_col: str | None = None) -> Data
     nums = numeric_columns(df, exclude=(group,))
     date_col = date_col or resolve_date_column(df)
     aggs = [F.count(F.lit(1)).alias("row_count")]
+    # Null counts come from count(c) (non-null values, needed for describe
+    # anyway) plus, for floating columns, a NaN count: fewer aggregates per row.
+    floating = [c for c in cols if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))]
     for c in cols:
-        aggs.append(F.sum(F.when(null_predicate(df, c), 1).otherwise(0)).cast("long").alias(f"nulls__{c}"))
+        aggs.append(F.count(c).alias(f"count__{c}"))
+    for c in floating:
+        aggs.append(F.count_if(F.isnan(c)).alias(f"_nan__{c}"))
     for c in nums:
         hi, lo, odd = _split_parts(df, c)
-        aggs += [F.count(c).alias(f"count__{c}"),
-                 F.avg(c).alias(f"_avg__{c}"),
+        aggs += [F.avg(c).alias(f"_avg__{c}"),
                  F.stddev_samp(c).alias(f"_sd__{c}"),
                  F.min(c).cast("double").alias(f"min__{c}"),
                  F.max(c).cast("double").alias(f"max__{c}"),
@@ -115,8 +138,15 @@ def profile_wide(df: DataFrame, group: str, date_col: str | None = None) -> Data
     # would run the aggregate twice: once to count, once to save).
     spark = df.sparkSession
     path = scratch_path(spark, "profile-groups")
-    df.groupBy(group).agg(*aggs).write.mode("overwrite").parquet(path)
+    # The partial aggregate carries ~10 buffer fields per numeric column; above
+    # spark.sql.codegen.maxFields whole-stage codegen is silently skipped for
+    # it, so raise the limit for this one job.
+    with _at_least(spark, "spark.sql.codegen.maxFields", 4 * len(aggs) + 100):
+        df.groupBy(group).agg(*aggs).write.mode("overwrite").parquet(path)
     groups = spark.read.parquet(path)
+    groups = groups.select("*", *[
+        (F.col("row_count") - F.col(f"count__{c}") + (F.col(f"_nan__{c}") if c in floating else F.lit(0)))
+        .cast("long").alias(f"nulls__{c}") for c in cols])
 
     # Total row from the group rows. Variance merge (parallel algorithm):
     # M2 = sum((n_g - 1) * sd_g^2) + sum(n_g * (avg_g - avg)^2).
@@ -139,7 +169,7 @@ def profile_wide(df: DataFrame, group: str, date_col: str | None = None) -> Data
     tot += [F.min("date_min").alias("date_min"), F.max("date_max").alias("date_max")]
     total = g2.agg(*tot).select(F.lit(None).cast(df.schema[group].dataType).alias(group), "*")
 
-    both = (groups.withColumn(TOTAL_LABEL_COL, F.lit(0))
+    both = (groups.select(*total.columns).withColumn(TOTAL_LABEL_COL, F.lit(0))
             .unionByName(total.withColumn(TOTAL_LABEL_COL, F.lit(1))))
     out = [group, "row_count", *[f"nulls__{c}" for c in cols]]
     for c in nums:

@@ -36,6 +36,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
+        # wide aggregates (the profile) keep whole-stage codegen
+        "spark.sql.codegen.maxFields": "1000",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
