@@ -25,7 +25,7 @@ from tidemark.sources import bar_files as BF
 from tidemark.sources import keyed_store as KS
 from tidemark.sources import messages as MSG
 from tidemark.sources.fs import child_dirs
-from tidemark.sources.bars import bar_date, bars
+from tidemark.sources.bars import bar_date, bars, order_bars
 from tidemark.sources.tables import read_table
 from tidemark.streaming import bucketed as SB
 from tidemark.streaming import enrich_state as ST
@@ -111,6 +111,18 @@ def q_enrich_daily(spark, sf_dir):
     return enriched(spark, sf_dir, grain="day")
 
 
+@query("ohlcv_bars_orders")
+def q_ohlcv_bars_orders(spark, sf_dir):
+    return order_bars(spark, sf_dir)
+
+
+@query("enrich_orders")
+def q_enrich_orders(spark, sf_dir):
+    # Daily bars over several years with the default (year) buckets: the halo
+    # carries rows across real bucket borders.
+    return enrich_bars(order_bars(spark, sf_dir), BUCKET_CHARS["day"])
+
+
 # --- analysis result sets -----------------------------------------------------
 @query("series_close")
 def q_series_close(spark, sf_dir):

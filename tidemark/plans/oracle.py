@@ -34,6 +34,20 @@ WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURR
 
 B = bars_sql()
 E = enriched_sql()
+B_ORDERS = """SELECT o_orderpriority AS symbol, strftime(o_orderdate, '%Y-%m-%d') AS date,
+  arg_min(o_totalprice, (o_orderdate, o_orderkey)) AS open, max(o_totalprice) AS high,
+  min(o_totalprice) AS low, arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS close, count(*) AS volume
+FROM orders GROUP BY 1, 2"""
+
+
+def enrich_over(bars_q: str) -> str:
+    return f"""SELECT symbol, date, open, high, low, close, volume,
+  round_even((close - open) / open * 100, 2) AS pct_change,
+  CASE WHEN count(*) OVER w = 7 THEN round_even(avg(close) OVER w, 2) END AS moving_avg_7,
+  abs(round_even((close - open) / open * 100, 2)) > 3 AS is_anomaly,
+  volume > 2 * avg(volume) OVER w AS volume_spike
+FROM ({valid_sql(bars_q)})
+WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""
 
 
 def with_e(body: str, e: str = E) -> str:
@@ -54,6 +68,8 @@ ORACLE["enrich"] = E
 ORACLE["enrich_day_buckets"] = E
 ORACLE["enrich_users"] = enriched_sql(symbol="user_id")
 ORACLE["enrich_daily"] = enriched_sql(grain="day")
+ORACLE["ohlcv_bars_orders"] = B_ORDERS
+ORACLE["enrich_orders"] = enrich_over(B_ORDERS)
 
 # --- analysis result sets -----------------------------------------------------
 ORACLE["series_close"] = with_e("SELECT symbol, date, close FROM E")

@@ -64,31 +64,42 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def aggregate_bars(tick_df: DataFrame, grain: str = "hour", symbol: str = "event_type",
-                   start: str | None = None, end: str | None = None) -> DataFrame:
+                   start: str | None = None, end: str | None = None, ts: str = "ts", seq: str = "event_id",
+                   value: str = "value", symbol_col: Column | None = None) -> DataFrame:
     """Aggregate ticks into OHLCV bars, optionally restricted to ``[start, end)``.
 
     The half-open bound mirrors the acquisition window (end exclusive). The
     bound is applied to the tick timestamp so it reaches the Parquet scan as a
-    pushed filter.
+    pushed filter. Column names default to the ``events`` table; any table of
+    (instrument, timestamp, sequence, value) works.
     """
     t = tick_df
     if start is not None:
-        t = t.filter(F.col("ts") >= F.to_timestamp_ntz(F.lit(start)))
+        t = t.filter(F.col(ts) >= F.to_timestamp_ntz(F.lit(start)))
     if end is not None:
-        t = t.filter(F.col("ts") < F.to_timestamp_ntz(F.lit(end)))
-    order = tick_order_key()
+        t = t.filter(F.col(ts) < F.to_timestamp_ntz(F.lit(end)))
+    order = tick_order_key(ts, seq)
+    sym = symbol_col if symbol_col is not None else symbol_column(symbol)
     return (
-        t.select(symbol_column(symbol).alias("symbol"),
-                 bar_date("ts", grain).alias("date"), "ts", "event_id", "value")
+        t.select(sym.alias("symbol"), bar_date(ts, grain).alias("date"), F.col(ts), F.col(seq),
+                 F.col(value).alias("_v"))
         .groupBy("symbol", "date")
-        .agg(F.min_by("value", order).alias("open"),
-             F.max("value").alias("high"),
-             F.min("value").alias("low"),
-             F.max_by("value", order).alias("close"),
+        .agg(F.min_by("_v", order).alias("open"),
+             F.max("_v").alias("high"),
+             F.min("_v").alias("low"),
+             F.max_by("_v", order).alias("close"),
              F.count(F.lit(1)).alias("volume"))
     )
 
 
+def order_bars(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataFrame:
+    """Bars from the orders table: instrument = order priority, price = total
+    price, ordered by (order date, order key)."""
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority"])
+    return aggregate_bars(o, grain, ts="o_orderdate", seq="o_orderkey", value="o_totalprice",
+                          symbol_col=F.col("o_orderpriority"))
+
+
 def bars(spark: SparkSession, sf_dir: str, grain: str = "hour", symbol: str = "event_type",
          start: str | None = None, end: str | None = None) -> DataFrame:
     return aggregate_bars(ticks(spark, sf_dir), grain, symbol, start, end)
