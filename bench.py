@@ -22,7 +22,7 @@ from tidemark.plans.catalog import QUERIES  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 
 HEADLINE = [
-    "ohlcv_bars", "enrich", "enrich_users", "enrich_daily", "summary_totals", "anomaly_counts",
+    "ohlcv_bars", "enrich", "enrich_users", "enrich_daily", "enrich_orders", "summary_totals", "anomaly_counts",
     "sort_symbol_date", "profile_combined", "profile_lineitem", "csv_scan_clean", "json_decode",
     "upsert_latest", "partial_update", "delete_by_key", "symbol_date_range", "point_lookup",
     "latency_summary", "batch_throughput", "stream_enrich", "stream_enrich_bucketed", "stream_upsert",
