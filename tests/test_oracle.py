@@ -49,3 +49,7 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "moving_avg_7" in df.columns
+
+
+def test_every_query_has_an_oracle_statement():
+    assert set(entry.queries()) == set(entry.oracle_sql())
