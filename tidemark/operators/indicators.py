@@ -77,6 +77,11 @@ def enrich(bars: DataFrame, bucket_chars: int = DEFAULT_BUCKET_CHARS, order: lis
     ``bucket_chars`` characters of the date; any ``bucket`` works whose order
     agrees with ``order`` (e.g. ``floor(seq / n)`` when ordering by ``seq``).
     ``keep`` names extra input columns carried to the output.
+
+    Input contract: the ordering is unique per symbol (for bars: one row per
+    (symbol, date), or add ``seq``; ``upsert_latest`` deduplicates), and rows
+    with a NULL symbol or bucket are not enriched (``valid_bars`` and the
+    reject routing take them out first).
     """
     order = order or _order_cols(bars)
     bucket = bucket if bucket is not None else F.substring("date", 1, bucket_chars)
