@@ -82,3 +82,24 @@ def test_bucketed_stream_equals_batch_with_restart(spark, monkeypatch):
     got = sorted(map(tuple, SB.read_output(spark, out).collect()))
     expect = sorted(map(tuple, enrich_bars(bars(spark, SF_SMOKE)).collect()))
     assert got == expect
+
+
+def test_fold_ships_by_value(tmp_path):
+    """Python workers need not have this package on their path: the state
+    fold must unpickle in an interpreter that cannot import it."""
+    import os
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from tidemark.streaming.enrich_state import fold_symbol
+    blob = tmp_path / "fold.pkl"
+    blob.write_bytes(cloudpickle.dumps(fold_symbol))
+    code = ("import pickle, sys\n"
+            "f = pickle.load(open(sys.argv[1], 'rb'))\n"
+            "try:\n    import tidemark\n    print('importable')\nexcept ImportError:\n    print(f.__name__)\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    r = subprocess.run([sys.executable, "-c", code, str(blob)], cwd="/", capture_output=True, text=True, env=env)
+    assert r.returncode == 0, r.stderr[-2000:]
+    assert r.stdout.strip().splitlines()[-1] == "fold_symbol"

@@ -18,10 +18,12 @@ symbol's rows), not a Python loop per row.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -29,6 +31,10 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from tidemark.operators.indicators import HALO, WINDOW_ROWS, finish_indicators
 from tidemark.schemas import ENRICHED_COLUMNS
 
+# The fold runs in Python workers, which need not have this package on their
+# path (only the driver imported it): ship this module's functions by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 STATE_SCHEMA = "closes array<double>, volumes array<bigint>"
 FOLD_SCHEMA = ("symbol string, date string, open double, high double, low double, close double, "
                "volume bigint, seq bigint, _csum double, _vsum bigint, _rows int")
