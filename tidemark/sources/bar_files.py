@@ -9,6 +9,8 @@ Close looks like a plain decimal number, then casts.
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,7 +61,7 @@ def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
         if exists(spark, p):
             keep.append(p)
         else:
-            print(f"WARNING: {p} not found - skipping")
+            print(f"WARNING: {p} not found - skipping", file=sys.stderr)
     return keep
 
 
