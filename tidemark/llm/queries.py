@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, minhash
+from tidemark.llm import decontaminate, minhash, mixing, token_counts, token_files
 from tidemark.llm.common import table
+from tidemark.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -30,3 +33,22 @@ def op1(spark, sf_dir):
 @query("op5_benchmark_decontamination", decontaminate.ORACLE)
 def op5(spark, sf_dir):
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_token_files")
+def op9(spark, sf_dir):
+    out = scratch_path(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), out, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read_tokens(spark, out)
+
+
+@query("op10_token_counts")
+def op10(spark, sf_dir):
+    counted = token_counts.prefix_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    n = token_counts.total(F.col("counts"))
+    return counted.select("doc_id", "n_bytes", n.alias("n_tokens"), (n > 2048).alias("over_limit"))
+
+
+@query("op4_source_mixing", mixing.ORACLE)
+def op4(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
