@@ -98,6 +98,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                .withColumn("slot", F.least(F.floor(F.col("place") * SLOTS), F.lit(SLOTS - 1)).cast("int")))
     keys = ["source", "slot"]
     slots = slotted.groupBy(*keys).agg(F.sum("size").alias("words"))
+    ahead = Window.partitionBy("source").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)  # SLOTS rows a source
     slots = slots.select(*keys, F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("before_slot"))
     inside = Window.partitionBy("source", "slot").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     told = slotted.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
@@ -116,7 +117,7 @@ w AS (SELECT *, CASE (row_number() OVER (ORDER BY source IS NULL, source) - 1) %
              source_size * 2.0::DOUBLE AS cap FROM s),
 r AS (SELECT *, 1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
              sum(weight) OVER (ORDER BY cap / weight ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open FROM w),
-l AS (SELECT min(rest / open) FILTER (WHERE rest / open < cap / weight) AS level FROM r),
+l AS (SELECT arg_min(rest / open, cap / weight) FILTER (WHERE rest / open < cap / weight) AS level FROM r),
 t AS (SELECT source, source_size, least(cap, weight * level) AS target FROM w, l),
 u AS (SELECT doc_id, d.source, size, source_size, target, target / source_size AS rate,
              (CAST(CAST('0x' || substr(md5('mix-1|' || doc_id), 1, 13) AS UBIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0::DOUBLE AS u

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, minhash, mixing, token_counts, token_files
+from tidemark.llm import chat, decontaminate, hnsw, language, licenses, minhash, mixing, token_counts, token_files, warc
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
 
@@ -52,3 +52,31 @@ def op10(spark, sf_dir):
 @query("op4_source_mixing", mixing.ORACLE)
 def op4(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op8_hnsw_search")
+def op8(spark, sf_dir):
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op6_warc_conversion", warc.ORACLE)
+def op6(spark, sf_dir):
+    arc, out = scratch_path(spark, "arc"), scratch_path(spark, "warc")
+    warc.write_arc(table(spark, sf_dir, "pages"), arc)
+    warc.convert(spark, arc, out)
+    return warc.read_warc(spark, out)
+
+
+@query("op7_language_id")
+def op7(spark, sf_dir):
+    return language.predictions(table(spark, sf_dir, "documents"))
+
+
+@query("op2_chat_formatting")
+def op2(spark, sf_dir):
+    return chat.recovered_turns(table(spark, sf_dir, "conversations"))
+
+
+@query("op3_license_scan", licenses.ORACLE)
+def op3(spark, sf_dir):
+    return licenses.scan(licenses.document_paths(table(spark, sf_dir, "documents")))
