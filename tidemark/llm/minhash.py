@@ -291,7 +291,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .join(texts.select("id", "samples"), "id"))
     shape = "id long, key long, x int, y int, band int, side int, samples binary"
     wanted = stored(map_groups(spread, ["key", "x", "y"], _with_partner, shape, ["id"]), "candidates")
-    texts_of = (docs.join(wanted.select(F.col("id").alias("doc_id")).distinct(), "doc_id"))
+    # the same join at every size: the ids are a share of the corpus, so no broadcast
+    texts_of = docs.join(wanted.select(F.col("id").alias("doc_id")).distinct().hint("merge"), "doc_id")
     described = stored(texts_of.mapInArrow(_featurer(levels), "id long, found binary, weights binary"), "features")
     links = stored(map_groups(wanted.join(described, "id"), ["key", "x", "y"], _links, "a long, b long", ["id"]), "links")
 
