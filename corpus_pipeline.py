@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, language, minhash, mixing, token_files
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import fresh, stored, table
 from tidemark.session import scratch_path
 
 MIN_SCORE = 0.4  # a clean document of any length scores well above
@@ -23,10 +23,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows of a null doc_id, or of one that several rows share, are judged by their text all the same.
     """
-    known = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    judged = language.identify(known.select(F.col("_row").alias("doc_id"), "text"), language.fit(docs))
-    bad = judged.where((F.col("lang_pred") == language.UNKNOWN) | (F.col("score") < MIN_SCORE)).select(F.col("doc_id").alias("_row")).distinct()
-    return known.join(stored(bad, "rejected"), "_row", "left_anti").select(*docs.columns)
+    row = fresh(docs, "_row")
+    known = docs.withColumn(row, F.xxhash64("doc_id", "text"))
+    judged = language.identify(known.select(F.col(row).alias("doc_id"), "text"), language.fit(docs))
+    bad = judged.where((F.col("lang_pred") == language.UNKNOWN) | (F.col("score") < MIN_SCORE)).select(F.col("doc_id").alias(row)).distinct()
+    return known.join(stored(bad, "rejected"), row, "left_anti").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,9 +44,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: none, one or two rows."""
-    mixed = stored(mixing.mix(docs).where("copies > 0").select(F.col("doc_id").alias("_id"), "copies").groupBy("_id").agg(F.max("copies").alias("copies")), "copies")
-    return (docs.join(mixed, F.col("doc_id").eqNullSafe(F.col("_id")))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns))
+    key, copies, copy = fresh(docs, "_id"), fresh(docs, "_copies"), fresh(docs, "_copy")
+    taken = mixing.mix(docs).where("copies > 0").groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(copies))
+    return (docs.join(stored(taken, "copies"), F.col("doc_id").eqNullSafe(F.col(key)))
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), copies))).select(*docs.columns))
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import fresh, stored
 
 WINDOW = 10
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -145,19 +145,21 @@ def report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
 
 def remove_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose text holds no window of the benchmark."""
+    row = fresh(docs, "_row")
     found = stored(contamination(docs, items, id_col=id_col, text_col=text_col)
-                   .select(F.xxhash64("doc_id", "text").alias("_row")).distinct(), "contaminated")
-    return (docs.withColumn("_row", F.xxhash64(F.col(id_col), F.col(text_col)))
-            .join(found, "_row", "left_anti").select(*docs.columns))
+                   .select(F.xxhash64("doc_id", "text").alias(row)).distinct(), "contaminated")
+    return (docs.withColumn(row, F.xxhash64(F.col(id_col), F.col(text_col)))
+            .join(found, row, "left_anti").select(*docs.columns))
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the hit words cut out of contaminated texts; what is left is joined by blanks. Other texts stay as they are."""
+    row, left = fresh(docs, "_row"), fresh(docs, "_left")
     found = contamination(docs, items, id_col=id_col, text_col=text_col)
-    kept = found.select(F.xxhash64("doc_id", "text").alias("_row"), F.array_join(F.filter(
-        F.transform("words", lambda w, i: F.when(~F.array_contains("spans", i), w)), lambda w: w.isNotNull()), " ").alias("_kept"))
-    return (docs.withColumn("_row", F.xxhash64(F.col(id_col), F.col(text_col))).join(stored(kept, "kept"), "_row", "left")
-            .withColumn(text_col, F.coalesce("_kept", F.col(text_col))).select(*docs.columns))
+    kept = found.select(F.xxhash64("doc_id", "text").alias(row), F.array_join(F.filter(
+        F.transform("words", lambda w, i: F.when(~F.array_contains("spans", i), w)), lambda w: w.isNotNull()), " ").alias(left))
+    return (docs.withColumn(row, F.xxhash64(F.col(id_col), F.col(text_col))).join(stored(kept, "kept"), row, "left")
+            .withColumn(text_col, F.coalesce(left, F.col(text_col))).select(*docs.columns))
 
 
 ORACLE = r"""

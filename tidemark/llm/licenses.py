@@ -95,11 +95,11 @@ def scan(files: DataFrame, templates: DataFrame | None = None) -> DataFrame:
     """``files`` (path, text, others) plus license, cosine, origin (own, inherited or none) and licensed_by (a directory)."""
     spark = files.sparkSession
     names = [c for c in files.columns if c != "text"]
-    files = files.withColumn("file", F.xxhash64("path", "text"))
+    files = files.select(*[F.col(c).alias(f"in_{c}") for c in names], F.col("path").alias("_path"), "text", F.xxhash64("path", "text").alias("file"))
     found = stored(statements(files.select("file", "text").dropDuplicates(["file"])), "found")
     scored = stored(score(found, templates if templates is not None else templates_table(spark)), "scored")
     best = found.join(scored, "words").groupBy("file").agg(F.max(F.struct("cosine", "license")).alias("own"), F.max("opens").alias("opens"))
-    told = stored(files.select(*[F.col(c).alias(f"in_{c}") for c in names], "file", F.col("path").alias("_path")).join(best, "file", "left")
+    told = stored(files.drop("text").join(best, "file", "left")
                   .withColumn("_dir", directory(F.col("_path"))), "own-licences")
     speaks = F.col("opens") | F.col("_path").rlike(NAMED)
     spoken = told.where(F.col("own").isNotNull() & speaks & F.col("_dir").isNotNull()).groupBy(F.col("_dir").alias("parent")).agg(F.max("own").alias("given"))
