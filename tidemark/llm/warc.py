@@ -220,15 +220,18 @@ def _arc_digests(batches):
 
 
 def _arc_blocks(batches):
-    """Records as rows: page id, and the record's fields and block."""
+    """Records as rows: page id, payload digest, and the record's fields and block."""
     for batch in batches:
         for data in _unzipped(batch.column(0)):
-            pages, blocks = [], []
+            pages, digests, blocks = [], [], []
             for r in parse_arc(data):
-                page = header(split_http(r["block"])[0], PAGE)
+                head, payload = split_http(r["block"])
+                page = header(head, PAGE)
+                digests.append(hashlib.sha1(payload).digest())
                 pages.append(None if page is None else int(page))
                 blocks.append(" ".join([r["URL"], r.get("IP-address", "-"), r["Archive-date"], r["Content-type"]]).encode() + b"\n" + r["block"])
-            yield pa.RecordBatch.from_arrays([pa.array(pages, pa.int64()), pa.array(blocks, pa.binary())], names=["page_id", "record"])
+            yield pa.RecordBatch.from_arrays([pa.array(pages, pa.int64()), pa.array(digests, pa.binary()), pa.array(blocks, pa.binary())],
+                                             names=["page_id", "sha1", "record"])
 
 
 def _warc_writer(batches):
@@ -246,9 +249,9 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, min_revisit: int
     seen = _files(spark, arc_path).mapInArrow(_arc_digests, "page_id long, sha1 binary, n long").where(f"page_id is not null and n >= {min_revisit}")
     seen = stored(seen, "arc-digests")
     kept = seen.groupBy("sha1").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("records")).where("records > 1")
-    revisits = stored(seen.join(kept, "sha1").where("page_id <> refers_to").select("page_id", "refers_to").distinct(), "revisits")
-    records = _files(spark, arc_path).mapInArrow(_arc_blocks, "page_id long, record binary")
-    told = records.join(revisits, "page_id", "left").select("record", "refers_to")
+    revisits = stored(seen.join(kept, "sha1").where("page_id <> refers_to").select("page_id", "sha1", "refers_to").distinct(), "revisits")
+    records = _files(spark, arc_path).mapInArrow(_arc_blocks, "page_id long, sha1 binary, record binary")
+    told = records.join(revisits, ["page_id", "sha1"], "left").select("record", "refers_to")
     _write(told.mapInArrow(_warc_writer, "data binary"), warc_path, "\r\n\r\n")
 
 
