@@ -50,6 +50,17 @@ def distinct_symbols(enriched: DataFrame) -> DataFrame:
     return enriched.select("symbol").distinct()
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` in which NULL equals NULL; the keys come from the left (no keys: the one row of ``right``)."""
+    if not keys:
+        return left.crossJoin(right)
+    other = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & left[k].eqNullSafe(other[f"_r_{k}"])
+    return left.join(other, cond).drop(*[f"_r_{k}" for k in keys])
+
+
 def positions(df: DataFrame, order: list[str], within: list[str] | None = None,
               bucket: Column | None = None, name: str = "pos",
               buckets: list[Column] | None = None) -> DataFrame:
@@ -84,10 +95,10 @@ def positions(df: DataFrame, order: list[str], within: list[str] | None = None,
         off = level_counts.select(*outer, names[level], F.coalesce(
             F.sum("_lc").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"_off{level}"))
         # a finer level joins the coarser offsets on its enclosing bucket
-        offsets = off if offsets is None else off.join(offsets, outer)
+        offsets = off if offsets is None else null_safe_join(off, offsets, outer)
         pos = pos + F.col(f"_off{level}")
     ranked = b.withColumn("_rn", F.row_number().over(Window.partitionBy(*within, *names).orderBy(*order)))
-    return (ranked.join(offsets, [*within, *names])
+    return (null_safe_join(ranked, offsets, [*within, *names])
             .withColumn(name, (pos + F.col("_rn")).cast("long"))
             .drop(*names, *[f"_off{i}" for i in range(len(names))], "_rn"))
 
@@ -106,6 +117,6 @@ def sort_symbol_date(df: DataFrame, bucket_chars: int = 7) -> DataFrame:
     offsets = (rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("_cnt"))
                .select("symbol", F.coalesce(F.sum("_cnt").over(
                    Window.orderBy("symbol").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off")))
-    return (inside.join(offsets, "symbol")
+    return (null_safe_join(inside, offsets, ["symbol"])
             .select((F.col("_off") + F.col("_in")).cast("long").alias("pos"), "symbol", "date", "close")
             .orderBy("symbol", "date"))

@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import pct_change, price_anomaly, round_half_even, volume_spike
+from tidemark.operators.validate import BAD_NUMBER, MISSING_DATE, MISSING_FIELD, MISSING_SYMBOL, ZERO_OPEN
 from tidemark.schemas import BAR_COLUMNS, ENRICHED_COLUMNS, MA_DECIMALS, WINDOW_ROWS
 
 HALO = WINDOW_ROWS - 1  # rows from before the current one that share its frame
@@ -118,26 +119,48 @@ def enrich(bars: DataFrame, bucket_chars: int = DEFAULT_BUCKET_CHARS, order: lis
             .select("symbol", "_b", "_halo"))
 
     # Head rows (first 6 of a bucket): prepend the last (7 - rn) halo rows.
-    head = staged.filter(F.col("_rn") <= HALO).join(halo, ["symbol", "_b"], "left")
+    # Their own earlier closes come as lags, so that the sum runs oldest to
+    # newest as in one window and does not depend on where a bucket begins.
+    lags = [F.coalesce(F.lag("close", k).over(wb), F.lit(0.0)).alias(f"_l{k}") for k in range(HALO - 1, 0, -1)]
+    head = (staged.select("*", *lags).filter(F.col("_rn") <= HALO).join(halo, ["symbol", "_b"], "left"))
     h = F.coalesce(F.col("_halo"), F.array().cast(halo.schema["_halo"].dataType))
     take = F.least(F.lit(WINDOW_ROWS) - F.col("_rn"), F.size(h))
     frame = F.slice(h, F.size(h) - take + 1, take)
     halo_close = F.aggregate(frame, F.lit(0.0), lambda a, x: a + x["close"])
     halo_vol = F.aggregate(frame, F.lit(0).cast("long"), lambda a, x: a + x["volume"])
-    head = finish_indicators(head, halo_close + F.col("_csum"), halo_vol + F.col("_vsum"), take + F.col("_rows"))
+    close_sum = halo_close
+    for k in range(HALO - 1, 0, -1):
+        close_sum = close_sum + F.col(f"_l{k}")
+    head = finish_indicators(head, close_sum + F.col("close"), halo_vol + F.col("_vsum"), take + F.col("_rows"))
 
     out = [*ENRICHED_COLUMNS, *[c for c in keep if c not in ENRICHED_COLUMNS]]
     return body.select(*out).unionByName(head.select(*out))
 
 
-def valid_bars(bars: DataFrame) -> DataFrame:
-    """Bars the reference can process: finite prices, non-zero open, volume present.
-    Records failing these are rejects (see operators.validate) and never enter a window."""
-    ok = F.lit(True)
+def bar_reject_reason() -> Column:
+    """Why the reference cannot process a bar, in the order of the message checks; NULL for a valid bar."""
+    missing = bad = F.lit(False)
     for c in ("open", "high", "low", "close"):
-        ok = ok & F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) != F.lit(float("inf")))
-    ok = ok & F.col("volume").isNotNull() & (F.col("open") != 0)
-    return bars.filter(ok & F.col("symbol").isNotNull() & F.col("date").isNotNull())
+        missing = missing | F.col(c).isNull()
+        bad = bad | F.coalesce(F.isnan(c) | (F.abs(F.col(c)) == F.lit(float("inf"))), F.lit(False))
+    return (F.when(missing | F.col("volume").isNull(), F.lit(MISSING_FIELD)).when(F.col("open") == 0, F.lit(ZERO_OPEN))
+            .when(bad, F.lit(BAD_NUMBER)).when(F.col("symbol").isNull(), F.lit(MISSING_SYMBOL)).when(F.col("date").isNull(), F.lit(MISSING_DATE)))
+
+
+def valid_bars(bars: DataFrame) -> DataFrame:
+    """Bars the reference can process: finite prices, non-zero open, volume, symbol and date present.
+    The others are in ``reject_bars`` and never enter a window."""
+    return bars.filter(bar_reject_reason().isNull())
+
+
+def reject_bars(bars: DataFrame) -> DataFrame:
+    """The bars that are not enriched, each with its reason."""
+    return bars.withColumn("reason", bar_reject_reason()).filter(F.col("reason").isNotNull())
+
+
+def row_indicators(bars: DataFrame) -> DataFrame:
+    """Valid bars with the indicators that need no other row: pct_change and is_anomaly."""
+    return valid_bars(bars).withColumn("pct_change", pct_change()).withColumn("is_anomaly", price_anomaly())
 
 
 def enrich_bars(bars: DataFrame, bucket_chars: int = DEFAULT_BUCKET_CHARS) -> DataFrame:

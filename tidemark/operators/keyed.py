@@ -28,15 +28,16 @@ KEY = ["symbol", "date"]
 def latest_per_key(changes: DataFrame, seq: str = "seq", key: list[str] = KEY) -> DataFrame:
     """The change with the highest ``seq`` per key.
 
-    One ``max_by(column, seq)`` per column: with ``seq`` unique per key (an
-    arrival sequence) they all pick the same change, and NULLs of that change
-    are kept. Primitive buffers keep this a hash aggregate with map-side
-    partial aggregation (a struct-valued ``max_by`` would force a sort-based
-    aggregate over the whole change batch).
+    Changes without a ``seq`` have no place in the order and are left out. Ties
+    of ``seq`` go by a hash of the whole change, so all columns come from one
+    change. ``seq`` and hash are packed into one DECIMAL(38,0): a primitive
+    buffer keeps this a hash aggregate with map-side partial aggregation.
     """
     payload = [c for c in changes.columns if c not in key and c != seq]
-    return changes.groupBy(*key).agg(*[F.max_by(c, seq).alias(c) for c in payload],
-                                     F.max(seq).alias(seq))
+    hashed = F.hash(*[F.col(c) for c in payload]).cast("long") + F.lit(1 << 31) if payload else F.lit(0)
+    place = (F.col(seq).cast("decimal(38,0)") * F.lit(1 << 32).cast("decimal(10,0)") + hashed).cast("decimal(38,0)")
+    placed = changes.filter(F.col(seq).isNotNull()).withColumn("_place", place)
+    return placed.groupBy(*key).agg(*[F.max_by(c, "_place").alias(c) for c in payload], F.max(seq).alias(seq))
 
 
 def upsert_latest(table: DataFrame, changes: DataFrame, seq: str = "seq",
@@ -75,7 +76,7 @@ def prefix_predicate(prefix: str, symbols: list[str] | None = None) -> Column:
 
 def delete_by_prefix(table: DataFrame, prefix: str, symbols: list[str] | None = None) -> DataFrame:
     """Drop rows whose date starts with ``prefix`` (for ``symbols``, or all)."""
-    return table.filter(~prefix_predicate(prefix, symbols))
+    return table.filter(~F.coalesce(prefix_predicate(prefix, symbols), F.lit(False)))
 
 
 # --- reads (filters reach the scan: partition pruning on symbol, pushed date

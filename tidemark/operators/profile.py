@@ -47,50 +47,6 @@ def _at_least(spark, key: str, value: int):
                 spark.conf.set(key, old)
 
 
-def null_predicate(df: DataFrame, c: str) -> Column:
-    dt = df.schema[c].dataType
-    if isinstance(dt, (T.DoubleType, T.FloatType)):
-        return F.col(c).isNull() | F.isnan(c)
-    return F.col(c).isNull()
-
-
-# Exact sums at long speed: a value is split into a whole part and a fraction
-# in millionths; both are summed as BIGINT (no decimal arithmetic per row).
-FRACTION_UNITS = 1_000_000
-# Magnitudes beyond this are not split exactly; such columns use the plain mean.
-SPLIT_LIMIT = 1e15
-
-
-def _split_parts(df: DataFrame, c: str) -> tuple[Column, Column, Column]:
-    """(whole part, fraction in millionths, not-splittable flag) of column ``c``."""
-    x = F.col(c)
-    if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-        x = x.cast("double")
-        odd = F.isnan(x) | (F.abs(x) >= F.lit(SPLIT_LIMIT))
-        safe = F.when(~odd, x)
-        hi = F.floor(safe).cast("long")
-        # rint: the scaled fraction of a value with <= 6 decimals lies within
-        # 1e-9 of an integer; rint is exact there and avoids decimal rounding.
-        lo = F.rint((safe - F.floor(safe)) * FRACTION_UNITS).cast("long")
-    else:  # integral: the whole part is the value itself
-        hi, lo, odd = x.cast("long"), F.lit(0).cast("long"), F.lit(False)
-    return hi, lo, odd
-
-
-def stable_mean(hi_sum: Column, lo_sum: Column, n: Column, plain_avg: Column, odd: Column) -> Column:
-    """Mean rounded half-even to ``STAT_DECIMALS`` from exact split sums.
-
-    sum = whole + fraction / 10^6 (both exact BIGINT sums, so independent of
-    the partition layout), one double division, then decimal half-even
-    rounding, so a mean lying exactly on a tie is rounded as a tie. Columns
-    holding NaN or huge values, or whose BIGINT sums overflow (NULL from
-    try_sum), fall back to the plain average.
-    """
-    total = hi_sum.cast("double") + lo_sum.cast("double") / F.lit(float(FRACTION_UNITS))
-    rounded = F.bround((total / n).cast("decimal(38,12)"), STAT_DECIMALS).cast("double")
-    return F.when(odd | hi_sum.isNull() | lo_sum.isNull(), plain_avg).otherwise(rounded)
-
-
 def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
     return [f.name for f in df.schema.fields
             if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
@@ -120,16 +76,10 @@ def profile_wide(df: DataFrame, group: str, date_col: str | None = None) -> Data
     for c in floating:
         aggs.append(F.count_if(F.isnan(c)).alias(f"_nan__{c}"))
     for c in nums:
-        hi, lo, odd = _split_parts(df, c)
-        aggs += [F.avg(c).alias(f"_avg__{c}"),
+        aggs += [F.avg(F.col(c).cast("double")).alias(f"_avg__{c}"),
                  F.stddev_samp(c).alias(f"_sd__{c}"),
                  F.min(c).cast("double").alias(f"min__{c}"),
-                 F.max(c).cast("double").alias(f"max__{c}"),
-                 # whole parts may overflow BIGINT at extreme scale: try_sum gives
-                 # NULL and the mean falls back to the plain average; fractions
-                 # are < 10^6 each and cannot overflow before 9.2e12 rows.
-                 F.try_sum(hi).alias(f"_hi__{c}"), F.sum(lo).alias(f"_lo__{c}"),
-                 F.max(odd.cast("int")).alias(f"_odd__{c}")]
+                 F.max(c).cast("double").alias(f"max__{c}")]
     aggs += [F.min(date_col).cast("string").alias("date_min"),
              F.max(date_col).cast("string").alias("date_max")]
     # One row per group, written once as a table under the shared checkpoint
@@ -151,21 +101,20 @@ def profile_wide(df: DataFrame, group: str, date_col: str | None = None) -> Data
     # Total row from the group rows. Variance merge (parallel algorithm):
     # M2 = sum((n_g - 1) * sd_g^2) + sum(n_g * (avg_g - avg)^2).
     # (a window over the group table: one row per group, so one small task)
+    zero = F.lit(0).cast("long")
     everything = Window.partitionBy()
     g2 = groups.select("*", *[(F.sum(F.col(f"count__{c}") * F.col(f"_avg__{c}")).over(everything)
-                               / F.sum(f"count__{c}").over(everything)).alias(f"_mu__{c}") for c in nums])
-    tot = [F.sum("row_count").alias("row_count")]
-    tot += [F.sum(f"nulls__{c}").cast("long").alias(f"nulls__{c}") for c in cols]
+                               / F.nullif(F.sum(f"count__{c}").over(everything), zero)).alias(f"_mu__{c}") for c in nums])
+    tot = [F.coalesce(F.sum("row_count"), zero).alias("row_count")]
+    tot += [F.coalesce(F.sum(f"nulls__{c}"), zero).cast("long").alias(f"nulls__{c}") for c in cols]
     for c in nums:
         n, a, sd, mu = F.col(f"count__{c}"), F.col(f"_avg__{c}"), F.col(f"_sd__{c}"), F.col(f"_mu__{c}")
         m2 = F.sum(F.coalesce((n - 1) * sd * sd, F.lit(0.0)) + n * (a - mu) * (a - mu))
-        big_n = F.sum(n)
+        big_n = F.coalesce(F.sum(n), zero)
         tot += [big_n.cast("long").alias(f"count__{c}"),
                 F.first(mu).alias(f"_avg__{c}"),
                 F.when(big_n > 1, F.sqrt(m2 / (big_n - 1))).alias(f"_sd__{c}"),
-                F.min(f"min__{c}").alias(f"min__{c}"), F.max(f"max__{c}").alias(f"max__{c}"),
-                F.try_sum(f"_hi__{c}").alias(f"_hi__{c}"), F.try_sum(f"_lo__{c}").alias(f"_lo__{c}"),
-                F.max(f"_odd__{c}").alias(f"_odd__{c}")]
+                F.min(f"min__{c}").alias(f"min__{c}"), F.max(f"max__{c}").alias(f"max__{c}")]
     tot += [F.min("date_min").alias("date_min"), F.max("date_max").alias("date_max")]
     total = g2.agg(*tot).select(F.lit(None).cast(df.schema[group].dataType).alias(group), "*")
 
@@ -174,16 +123,21 @@ def profile_wide(df: DataFrame, group: str, date_col: str | None = None) -> Data
     out = [group, "row_count", *[f"nulls__{c}" for c in cols]]
     for c in nums:
         n = F.col(f"count__{c}")
-        out += [n.alias(f"count__{c}"),
-                stable_mean(F.col(f"_hi__{c}"), F.col(f"_lo__{c}"), n, F.col(f"_avg__{c}"),
-                            F.col(f"_odd__{c}") == 1).alias(f"mean__{c}"),
-                F.bround(F.col(f"_sd__{c}"), STAT_DECIMALS).alias(f"stddev__{c}"),
+        out += [n.alias(f"count__{c}"), F.col(f"_avg__{c}").alias(f"mean__{c}"), F.col(f"_sd__{c}").alias(f"stddev__{c}"),
                 f"min__{c}", f"max__{c}"]
     total_nulls = sum((F.col(f"nulls__{c}") for c in cols[1:]), F.col(f"nulls__{cols[0]}"))
     return both.select(*out, "date_min", "date_max", F.col(TOTAL_LABEL_COL).cast("int").alias(TOTAL_LABEL_COL),
                        total_nulls.cast("long").alias("total_nulls"))
 
 
+def rounded(df: DataFrame, decimals: int = STAT_DECIMALS) -> DataFrame:
+    """Means and standard deviations half-even to ``decimals``, for reports; the profile itself keeps full precision."""
+    is_stat = lambda c: c.startswith(("mean__", "stddev__")) or c in ("mean", "stddev")
+    short = lambda c: F.when(F.isnan(c), F.col(c)).otherwise(
+        F.bround(F.when(~F.isnan(c), F.col(c)).cast("decimal(38,12)"), decimals).cast("double"))
+    return df.select(*[short(c).alias(c) if is_stat(c) else F.col(c) for c in df.columns])
+
+
 def profile_counts(wide: DataFrame, group: str) -> DataFrame:
     return wide.select(group, TOTAL_LABEL_COL, "row_count", "total_nulls")
 

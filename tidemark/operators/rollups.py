@@ -36,10 +36,15 @@ def latency_summary(timings: DataFrame, op: str = "op", ms: str = "elapsed_ms")
         round_dec(mean, LATENCY_DECIMALS).alias("avg_ms"),
         round_dec(F.min(ms), LATENCY_DECIMALS).alias("min_ms"),
         round_dec(F.max(ms), LATENCY_DECIMALS).alias("max_ms"),
-        round_dec(F.lit(1000.0) / mean, LATENCY_DECIMALS).alias("throughput"),
+        round_dec(F.try_divide(F.lit(1000.0), mean), LATENCY_DECIMALS).alias("throughput"),
         F.floor(mean).cast("long").alias("floor_mean_ms"))
 
 
+def floored_mean(rows: DataFrame, value: str) -> DataFrame:
+    """The floored mean over the rows' values (of a summary: over its groups)."""
+    return rows.agg(F.floor(F.avg(F.col(value).cast("double"))).cast("long").alias("floor_mean"))
+
+
 def batch_assign(items: DataFrame, within: list[str], order: list[str], bucket: Column | None = None,
                  size: int = WRITE_BATCH_SIZE, buckets: list[Column] | None = None) -> DataFrame:
     """Chunk each group's rows, in ``order``, into batches of ``size``."""
@@ -73,4 +78,4 @@ def batch_throughput(timings: DataFrame, order: list[str], op: str = "op", ms: s
         round_dec(total / F.count(F.lit(1)), 0).alias("avg_batch_ms"),
         round_dec(F.min("_ms"), 1).alias("min_batch_ms"),
         round_dec(F.max("_ms"), 1).alias("max_batch_ms"),
-        round_dec(F.sum("_n") / (total / 1000.0), 1).alias("records_per_sec"))
+        round_dec(F.try_divide(F.sum("_n"), total / 1000.0), 1).alias("records_per_sec"))

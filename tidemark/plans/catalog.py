@@ -18,7 +18,7 @@ from tidemark.operators import keyed as K
 from tidemark.operators import profile as P
 from tidemark.operators import rollups as R
 from tidemark.operators import validate as VAL
-from tidemark.operators.indicators import enrich_bars
+from tidemark.operators.indicators import enrich_bars, reject_bars, row_indicators, valid_bars
 from tidemark.schemas import BAR_COLUMNS, BENCH_PREFIX, ENRICHED_COLUMNS, RAW_BAR_COLUMNS
 from tidemark.session import scratch_path
 from tidemark.sources import bar_files as BF
@@ -45,6 +45,10 @@ BUCKET_CHARS = {"day": 4, "hour": 7, "minute": 10}
 CHART_SYMBOL = "click"
 
 
+# The bounded acquisition: end exclusive.
+RANGE = ("2024-01-08 00:00:00", "2024-01-15 00:00:00")
+
+
 def query(name: str):
     def reg(fn: QueryFn) -> QueryFn:
         QUERIES[name] = fn
@@ -76,7 +80,7 @@ def q_pct_change(spark, sf_dir):
 
 @query("price_anomaly")
 def q_price_anomaly(spark, sf_dir):
-    return enriched(spark, sf_dir).select("symbol", "date", "pct_change", "is_anomaly")
+    return row_indicators(bars(spark, sf_dir)).select("symbol", "date", "pct_change", "is_anomaly")
 
 
 @query("moving_avg_7")
@@ -106,6 +110,18 @@ def q_enrich_users(spark, sf_dir):
     return enriched(spark, sf_dir, symbol="user_id")
 
 
+@query("enrich_rejects")
+def q_enrich_rejects(spark, sf_dir):
+    # The bars that enrich_users leaves out: bars in = enriched + rejects.
+    return reject_bars(bars(spark, sf_dir, symbol="user_id")).select("symbol", "date", "open", "volume", "reason")
+
+
+@query("ohlcv_bars_range")
+def q_ohlcv_bars_range(spark, sf_dir):
+    # Acquisition with a half-open date range: the bound reaches the scan.
+    return bars(spark, sf_dir, start=RANGE[0], end=RANGE[1])
+
+
 @query("enrich_daily")
 def q_enrich_daily(spark, sf_dir):
     return enriched(spark, sf_dir, grain="day")
@@ -126,7 +142,7 @@ def q_enrich_orders(spark, sf_dir):
 # --- analysis result sets -----------------------------------------------------
 @query("series_close")
 def q_series_close(spark, sf_dir):
-    return A.series_close(enriched(spark, sf_dir))
+    return A.series_close(valid_bars(bars(spark, sf_dir)))
 
 
 @query("series_close_vs_ma")
@@ -136,7 +152,7 @@ def q_series_close_vs_ma(spark, sf_dir):
 
 @query("anomaly_points")
 def q_anomaly_points(spark, sf_dir):
-    return A.anomaly_points(enriched(spark, sf_dir))
+    return A.anomaly_points(row_indicators(bars(spark, sf_dir)))
 
 
 @query("spike_points")
@@ -146,12 +162,12 @@ def q_spike_points(spark, sf_dir):
 
 @query("anomaly_counts")
 def q_anomaly_counts(spark, sf_dir):
-    return A.anomaly_counts(enriched(spark, sf_dir))
+    return A.anomaly_counts(row_indicators(bars(spark, sf_dir)))
 
 
 @query("most_volatile")
 def q_most_volatile(spark, sf_dir):
-    return A.most_volatile(enriched(spark, sf_dir))
+    return A.most_volatile(row_indicators(bars(spark, sf_dir)))
 
 
 @query("summary_totals")
@@ -161,7 +177,7 @@ def q_summary_totals(spark, sf_dir):
 
 @query("distinct_symbols")
 def q_distinct_symbols(spark, sf_dir):
-    return A.distinct_symbols(enriched(spark, sf_dir))
+    return A.distinct_symbols(valid_bars(bars(spark, sf_dir)))
 
 
 @query("sort_symbol_date")
@@ -180,7 +196,8 @@ def profile_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _profile_wide(spark, sf_dir):
-    return P.profile_wide(profile_input(spark, sf_dir), "symbol", P.resolve_date_column(profile_input(spark, sf_dir)))
+    df = profile_input(spark, sf_dir)
+    return P.profile_wide(df, "symbol", P.resolve_date_column(df))
 
 
 @query("profile_counts")
@@ -196,14 +213,14 @@ def q_profile_nulls(spark, sf_dir):
 @query("profile_describe")
 def q_profile_describe(spark, sf_dir):
     df = profile_input(spark, sf_dir)
-    return P.profile_describe(P.profile_wide(df, "symbol"), "symbol", P.numeric_columns(df, ("symbol",)))
+    return P.rounded(P.profile_describe(P.profile_wide(df, "symbol"), "symbol", P.numeric_columns(df, ("symbol",))))
 
 
 @query("profile_describe_text")
 def q_profile_describe_text(spark, sf_dir):
     df = profile_input(spark, sf_dir)
     d = P.profile_describe(P.profile_wide(df, "symbol"), "symbol", P.numeric_columns(df, ("symbol",)))
-    return P.profile_describe_text(d, "symbol")
+    return P.profile_describe_text(P.rounded(d), "symbol")
 
 
 @query("profile_date_range")
@@ -213,7 +230,7 @@ def q_profile_date_range(spark, sf_dir):
 
 @query("profile_combined")
 def q_profile_combined(spark, sf_dir):
-    return _profile_wide(spark, sf_dir)
+    return P.rounded(_profile_wide(spark, sf_dir))
 
 
 @query("profile_schema")
@@ -234,7 +251,7 @@ LINEITEM_PROFILE_DATE = "l_shipdate"
 def q_profile_lineitem(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem")
     wide = P.profile_wide(li, LINEITEM_PROFILE_GROUP, LINEITEM_PROFILE_DATE)
-    return P.profile_describe(wide, LINEITEM_PROFILE_GROUP, P.numeric_columns(li, (LINEITEM_PROFILE_GROUP,)))
+    return P.rounded(P.profile_describe(wide, LINEITEM_PROFILE_GROUP, P.numeric_columns(li, (LINEITEM_PROFILE_GROUP,))))
 
 
 @query("profile_lineitem_nulls")
@@ -412,7 +429,7 @@ def q_partitioned_roundtrip(spark, sf_dir):
     path = _cached_path(spark, sf_dir, "bars-by-symbol",
                         lambda p: bars(spark, sf_dir).repartitionByRange("symbol", "date")
                         .write.mode("overwrite").partitionBy("symbol").parquet(p))
-    return spark.read.parquet(path).select(*BAR_COLUMNS)
+    return KS.read_by_symbol(spark, path).select(*BAR_COLUMNS)
 
 
 @query("numeric_row_filter")

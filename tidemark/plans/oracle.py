@@ -67,6 +67,9 @@ ORACLE["volume_spike"] = with_e("SELECT symbol, date, volume, volume_spike FROM
 ORACLE["enrich"] = E
 ORACLE["enrich_day_buckets"] = E
 ORACLE["enrich_users"] = enriched_sql(symbol="user_id")
+ORACLE["enrich_rejects"] = f"""SELECT symbol, date, open, volume, CASE WHEN open = 0 THEN 'zero_open' ELSE 'bad_number' END AS reason
+FROM ({bars_sql(symbol="user_id")}) WHERE NOT (isfinite(open) AND isfinite(high) AND isfinite(low) AND isfinite(close) AND open <> 0)"""
+ORACLE["ohlcv_bars_range"] = bars_sql().replace("FROM events", "FROM events WHERE ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts < TIMESTAMP '2024-01-15 00:00:00'")
 ORACLE["enrich_daily"] = enriched_sql(grain="day")
 ORACLE["ohlcv_bars_orders"] = B_ORDERS
 ORACLE["enrich_orders"] = enrich_over(B_ORDERS)

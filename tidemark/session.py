@@ -62,6 +62,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         # Unset: only in tests / single-machine use. Register it so every
         # later call (and RDD checkpointing) uses the same place.
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set(_CHECKPOINT_KEY, root)

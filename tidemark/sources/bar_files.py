@@ -11,21 +11,31 @@ from __future__ import annotations
 
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import is_numeric_text
+from tidemark.functions.scalar import is_numeric_text, to_price_decimal
 from tidemark.schemas import RAW_BAR, RAW_BAR_COLUMNS, RAW_NUMERIC_COLUMNS
 from tidemark.sources.fs import exists
 
 FILE_SYMBOL = "file_symbol"  # directory partition column naming the file's symbol
 
 
+def plain_text(c: str) -> Column:
+    """A number as plain decimal text with at least one decimal (a cast gives 1.0E7 from ten million on).
+
+    NULL, NaN and infinities render as a cast does; magnitudes the price decimal cannot hold keep the cast's text.
+    """
+    finite = F.when(~F.isnan(c) & (F.abs(F.col(c)) < F.lit(1e18)), F.col(c))
+    text = F.regexp_replace(to_price_decimal(finite).cast("string"), r"(\.\d+?)0+$", "$1")
+    exact = finite.isNotNull() & (to_price_decimal(finite).cast("double") == F.col(c))
+    return F.when(exact, text).otherwise(F.col(c).cast("string"))
+
+
 def raw_bar_rows(bars: DataFrame) -> DataFrame:
-    """Bars in the raw text layout (values as Spark renders them as text)."""
-    return bars.select(F.col("date").alias("Date"), F.col("close").cast("string").alias("Close"),
-                       F.col("high").cast("string").alias("High"), F.col("low").cast("string").alias("Low"),
-                       F.col("open").cast("string").alias("Open"), F.col("volume").cast("string").alias("Volume"),
+    """Bars in the raw text layout (prices in plain notation)."""
+    return bars.select(F.col("date").alias("Date"), plain_text("close").alias("Close"), plain_text("high").alias("High"),
+                       plain_text("low").alias("Low"), plain_text("open").alias("Open"), F.col("volume").cast("string").alias("Volume"),
                        F.col("symbol"))
 
 

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.scalar import to_computed_decimal, to_price_decimal
 from tidemark.sources.fs import committed_dirs
@@ -80,6 +81,13 @@ def append_version(df: DataFrame, root: str) -> int:
     return n
 
 
+def read_by_symbol(spark: SparkSession, path: str) -> DataFrame:
+    """A symbol-partitioned table with the symbol as text (inference would make 700 of the ticker 0700)."""
+    found = spark.read.parquet(path).schema
+    fields = [T.StructField(f.name, T.StringType() if f.name == "symbol" else f.dataType) for f in found.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def read_version(spark: SparkSession, root: str, version: int | None = None,
                  columns: list[str] = ENRICHED_COLUMNS) -> DataFrame:
     """Read a version (default: newest complete); decimals come back as double."""
@@ -88,7 +96,7 @@ def read_version(spark: SparkSession, root: str, version: int | None = None,
         if not v:
             raise FileNotFoundError(f"no complete version under {root}")
         version = v[-1]
-    df = spark.read.parquet(version_path(root, version))
+    df = read_by_symbol(spark, version_path(root, version))
     return from_sink_types(df.select(*columns))
 
 
@@ -96,4 +104,4 @@ def read_sink(spark: SparkSession, root: str, version: int | None = None) -> Dat
     """Read with the stored (decimal) types."""
     if version is None:
         version = versions(spark, root)[-1]
-    return spark.read.parquet(version_path(root, version)).select(*ENRICHED_COLUMNS)
+    return read_by_symbol(spark, version_path(root, version)).select(*ENRICHED_COLUMNS)
