@@ -7,6 +7,8 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from tidemark.plans.catalog import QUERIES
+from tidemark.plans.oracle import ORACLE
 
 from conftest import SF_SMOKE
 
@@ -37,7 +39,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
     got = entry.queries()[name](spark, SF_SMOKE).toPandas()
     exp = con.sql(entry.oracle_sql()[name]).df()
@@ -52,4 +54,5 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle_statement():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())

@@ -36,3 +36,18 @@ def test_range_read_prunes_partitions_and_pushes_filters(spark):
 def test_profile_single_scan(spark):
     p = QUERIES["profile_combined"](spark, SF_SMOKE)._jdf.queryExecution().executedPlan().toString()
     assert "events.parquet" not in p and "profile-groups" in p
+
+
+ROW_LOCAL = ["price_anomaly", "anomaly_points", "anomaly_counts", "most_volatile", "series_close", "distinct_symbols"]
+
+
+def test_row_local_analysis_has_no_window(spark):
+    for name in ROW_LOCAL:
+        p = _plan(QUERIES[name](spark, SF_SMOKE))
+        assert "Window" not in p, name
+        assert p.count("FileScan parquet") == 1, name
+
+
+def test_bounded_acquisition_pushes_its_range(spark):
+    p = QUERIES["ohlcv_bars_range"](spark, SF_SMOKE)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in p and "LessThan(ts" in p

@@ -45,6 +45,12 @@ def floored_mean(rows: DataFrame, value: str) -> DataFrame:
     return rows.agg(F.floor(F.avg(F.col(value).cast("double"))).cast("long").alias("floor_mean"))
 
 
+def record_time(timings: DataFrame, op: str = "op", ms: str = "elapsed_ms") -> DataFrame:
+    """Average time per record of a batched write, per op (1 dp)."""
+    return timings.groupBy(op).agg(F.count(F.lit(1)).alias("records"),
+                                   round_dec(exact_sum(ms).cast("double") / F.count(ms), 1).alias("avg_record_ms"))
+
+
 def batch_assign(items: DataFrame, within: list[str], order: list[str], bucket: Column | None = None,
                  size: int = WRITE_BATCH_SIZE, buckets: list[Column] | None = None) -> DataFrame:
     """Chunk each group's rows, in ``order``, into batches of ``size``."""

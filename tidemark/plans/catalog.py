@@ -570,3 +570,34 @@ def q_stream_enrich_bucketed(spark, sf_dir):
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     return SB.read_output(spark, out)
+
+
+@query("latency_floored_mean")
+def q_latency_floored_mean(spark, sf_dir):
+    # The mean over the ops' average times, floored.
+    return R.floored_mean(R.latency_summary(timings(spark, sf_dir)), "avg_ms")
+
+
+@query("batch_record_time")
+def q_batch_record_time(spark, sf_dir):
+    return R.record_time(timings(spark, sf_dir))
+
+
+@query("stored_summary")
+def q_stored_summary(spark, sf_dir):
+    # The analysis as the reference runs it: over the table read back from the store.
+    return A.summary_totals(stored_table(spark, sf_dir))
+
+
+@query("stored_anomaly_counts")
+def q_stored_anomaly_counts(spark, sf_dir):
+    return A.anomaly_counts(stored_table(spark, sf_dir))
+
+
+@query("profile_csv")
+def q_profile_csv(spark, sf_dir):
+    # Scan, clean and profile of the landed text files, together.
+    c = BF.clean_bars(BF.scan_bar_files(spark, bar_files_path(spark, sf_dir)))
+    df = c.select(c.date.alias("Date"), c.close.alias("Close"), c.high.alias("High"), c.low.alias("Low"),
+                  c.open.alias("Open"), c.volume.cast("double").alias("Volume"), "symbol")
+    return P.rounded(P.profile_describe(P.profile_wide(df, "symbol"), "symbol", P.numeric_columns(df, ("symbol",))))

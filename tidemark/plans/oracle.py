@@ -269,3 +269,11 @@ ORACLE["profile_describe_text"] = f"WITH D AS ({_DESC})\n" + "\nUNION ALL ".join
     f"SELECT symbol, is_total, \"column\", '{st}' AS stat, coalesce(CAST({st} AS VARCHAR), 'N/A') AS value FROM D"
     for st in ("count", "mean", "stddev", "min", "max"))
 ORACLE["stream_enrich_bucketed"] = E
+
+# --- over the stored table and the landed files; further rollups --------------
+ORACLE["stored_summary"] = ORACLE["summary_totals"]
+ORACLE["stored_anomaly_counts"] = ORACLE["anomaly_counts"]
+ORACLE["profile_csv"] = ORACLE["profile_describe"]
+ORACLE["latency_floored_mean"] = f"""SELECT CAST(floor(avg(avg_ms)) AS BIGINT) AS floor_mean
+FROM (SELECT event_type AS op, {_r(_MEAN, 1)} AS avg_ms FROM events GROUP BY 1)"""
+ORACLE["batch_record_time"] = f"""SELECT event_type AS op, count(*) AS records, {_r(_MEAN, 1)} AS avg_record_ms FROM events GROUP BY 1"""
