@@ -96,7 +96,7 @@ def scan(files: DataFrame, templates: DataFrame | None = None) -> DataFrame:
     spark = files.sparkSession
     names = [c for c in files.columns if c != "text"]
     files = files.select(*[F.col(c).alias(f"in_{c}") for c in names], F.col("path").alias("_path"), "text", F.xxhash64("path", "text").alias("file"))
-    found = stored(statements(files.select("file", "text").dropDuplicates(["file"])), "found")
+    found = stored(statements(files.where(_mentions(F.col("text"))).select("file", "text").dropDuplicates(["file"])), "found")
     scored = stored(score(found, templates if templates is not None else templates_table(spark)), "scored")
     best = found.join(scored, "words").groupBy("file").agg(F.max(F.struct("cosine", "license")).alias("own"), F.max("opens").alias("opens"))
     told = stored(files.drop("text").join(best, "file", "left")
