@@ -18,6 +18,7 @@ import numpy as np
 KEPT_PIECES = 1_000_000  # about 200 MB a worker
 JOINED = 2048
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+_OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 
 
 def load_tokenizer(path: str):
@@ -27,8 +28,16 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _single_spaced(text: str) -> bool:
+    """Whether single blanks or line breaks between words are all the white space of a text."""
+    flat = text.replace("\n", " ")
+    return not (flat[0] == " " or flat[-1] == " " or "  " in flat or any(c in text for c in _OTHER_SPACE))
+
+
 def _stem(piece: str) -> str:
     """The piece without final full stops and commas, if a letter stands before them."""
+    if piece[-1] not in ".,":
+        return piece
     stem = piece.rstrip(".,")
     last = stem[-1:] if stem[-1:].isascii() else unicodedata.normalize("NFC", stem[-1]).lower()
     return stem if last.isalpha() else piece
@@ -38,8 +47,8 @@ class PieceIds:
     """Token ids of texts for a byte-level vocabulary, as little-endian bytes.
 
     ``kept`` has pieces by their text without the blank before them; a piece
-    that starts a text or a line, or holds other white space, is kept under its
-    own text in ``raw``.
+    that starts a line or holds other white space is kept under its own text,
+    one that starts a text in ``first``.
     """
 
     def __init__(self, path: str, dtype: str):
@@ -48,7 +57,7 @@ class PieceIds:
         self.begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.begins[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True  # a blank in byte-level text
         self.kept: dict[str, bytes] = {}
-        self.raw: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}
 
     def _each(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -68,48 +77,47 @@ class PieceIds:
         return out
 
     def _learn(self, missing: set[str]) -> None:
-        stems = {p: _stem(p) for p in missing}
-        new = [s for s in dict.fromkeys(stems.values()) if s not in self.kept]
+        words = {p for p in missing if p.split() == [p]}
+        others = list(missing - words)
+        self.kept.update(zip(others, self._each(others)))
+        stems = {p: _stem(p) for p in words}
+        new = list(set(stems.values()) - self.kept.keys())
         self.kept.update(zip(new, self._after_blank(new)))
-        tails = list({p[len(s):] for p, s in stems.items() if len(s) < len(p)})
-        tail = dict(zip(tails, self._each(tails)))
-        self.kept.update((p, self.kept[s] + tail[p[len(s):]]) for p, s in stems.items() if len(s) < len(p))
-
-    def _learn_raw(self, missing: set[str]) -> None:
-        new = list(missing)
-        self.raw.update(zip(new, self._each(new)))
+        ended = [(p, s, p[len(s):]) for p, s in stems.items() if len(s) < len(p)]
+        tails = list({tail for _, _, tail in ended})
+        tail_ids = dict(zip(tails, self._each(tails)))
+        self.kept.update((p, self.kept[s] + tail_ids[tail]) for p, s, tail in ended)
+
+    @staticmethod
+    def _pieces(text: str) -> list[str]:
+        """The first piece as it stands, the later ones without one blank before a word."""
+        if not text:
+            return []
+        if _single_spaced(text):
+            return text.replace("\n", " \n").split(" ")
+        pieces = _CUT.split(text)
+        return pieces[:1] + [p[1:] if p[0] == " " and p[1:].split() == [p[1:]] else p for p in pieces[1:]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.kept) > KEPT_PIECES or len(self.raw) > KEPT_PIECES:
-            self.kept, self.raw = {}, {}
-        plans, plain, raw = [], set(), set()
+        if len(self.kept) > KEPT_PIECES or len(self.first) > KEPT_PIECES:
+            self.kept, self.first = {}, {}
+        plans, missing, starts = [], set(), {}
         for text in texts:
-            if text.split() == text.replace("\n", " ").split(" "):
-                pieces = text.replace("\n", " \n").split(" ")
-                odd = [i for i, p in enumerate(pieces) if p[0] == "\n"] if "\n" in text else []
-                odd = odd if odd and odd[0] == 0 else [0, *odd]
-            else:
-                pieces = _CUT.split(text) if text else []
-                odd = [i for i, p in enumerate(pieces) if i == 0 or p[0] != " " or p[1:].split() != [p[1:]]]
-                marked = set(odd)
-                pieces = [p if i in marked else p[1:] for i, p in enumerate(pieces)]
-            special = {i: pieces[i] for i in odd}
-            for i in odd:
-                pieces[i] = ""
-            plans.append((pieces, special))
-            plain.update(pieces)
-            raw.update(special.values())
-        plain.discard("")
-        self._learn(plain - self.kept.keys())
-        self._learn_raw(raw - self.raw.keys())
-        self.kept[""] = b""
-        out = []
-        for pieces, special in plans:
-            found = list(map(self.kept.__getitem__, pieces))
-            for i, p in special.items():
-                found[i] = self.raw[p]
-            out.append(b"".join(found))
-        return out
+            pieces = self._pieces(text)
+            found = list(map(self.kept.get, pieces))
+            if pieces:
+                found[0] = self.first.get(pieces[0])
+            holes = {} if all(found) else {i: pieces[i] for i, ids in enumerate(found) if not ids}
+            if 0 in holes:
+                starts[holes[0]] = None
+            missing.update(p for i, p in holes.items() if i)
+            plans.append((found, holes))
+        self._learn(missing)
+        self.first.update(zip(starts, self._each(list(starts))))
+        for found, holes in plans:
+            for i, p in holes.items():
+                found[i] = self.kept[p] if i else self.first[p]
+        return [b"".join(found) for found, _ in plans]
 
 
 class PieceCounts:
