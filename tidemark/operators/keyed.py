@@ -9,10 +9,10 @@ DataFrame plan over the whole table and a batch of changes:
 * ``delete_by_prefix`` drop rows whose date starts with a prefix, per symbol.
 
 Only the change batch is aggregated (``max_by`` with partial aggregation, so
-one hot key is combined map-side). The table side meets the changes through
-joins that Spark may broadcast when the *changes* are small enough
-(``spark.sql.autoBroadcastJoinThreshold`` is the size check, and AQE re-plans
-on the actual size); otherwise they shuffle on the key.
+one hot key is combined map-side), and read once. Puts and updates are one full
+outer join on the key. Deletes are an anti join that Spark may broadcast when
+the *changes* are small enough (``spark.sql.autoBroadcastJoinThreshold`` is the
+size check, and AQE re-plans on the actual size), else a shuffle on the key.
 """
 
 from __future__ import annotations
@@ -40,12 +40,19 @@ def latest_per_key(changes: DataFrame, seq: str = "seq", key: list[str] = KEY) -
     return placed.groupBy(*key).agg(*[F.max_by(c, "_place").alias(c) for c in payload], F.max(seq).alias(seq))
 
 
+def _put(table: DataFrame, latest: DataFrame, put: list[str], columns: list[str]) -> DataFrame:
+    """``table`` with the ``put`` columns of ``latest``, which has one row per key; unknown keys become rows."""
+    new = latest.select(*KEY, F.struct(*put).alias("_new"))
+    return (table.select(*columns).join(new, KEY, "full_outer")
+            .select(*[F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in put else F.col(c)
+                      for c in columns]))
+
+
 def upsert_latest(table: DataFrame, changes: DataFrame, seq: str = "seq",
                   columns: list[str] = ENRICHED_COLUMNS) -> DataFrame:
     """Full-record put: rows of ``changes`` replace rows with the same key."""
-    latest = latest_per_key(changes.select(*columns, seq), seq).select(*columns)
-    kept = table.select(*columns).join(latest.select(*KEY), KEY, "left_anti")
-    return kept.unionByName(latest)
+    latest = latest_per_key(changes.select(*columns, seq), seq)
+    return _put(table, latest, [c for c in columns if c not in KEY], columns)
 
 
 def partial_update(table: DataFrame, updates: DataFrame, column: str, seq: str = "seq",
@@ -53,16 +60,7 @@ def partial_update(table: DataFrame, updates: DataFrame, column: str, seq: str =
     """SET ``column`` = value for each key in ``updates`` (latest seq wins).
     Existing rows keep every other column; missing keys become new rows with
     only the key and ``column`` set."""
-    latest = latest_per_key(updates.select(*KEY, column, seq), seq).select(*KEY, F.col(column).alias("_new"))
-    flagged = latest.withColumn("_hit", F.lit(True))
-    updated = (table.select(*columns).join(flagged, KEY, "left")
-               .withColumn(column, F.when(F.col("_hit"), F.col("_new")).otherwise(F.col(column)))
-               .select(*columns))
-    inserted = latest.join(table.select(*KEY), KEY, "left_anti")
-    blank = [F.col("_new").alias(c) if c == column else
-             (F.col(c) if c in KEY else F.lit(None).cast(table.schema[c].dataType).alias(c))
-             for c in columns]
-    return updated.unionByName(inserted.select(*blank))
+    return _put(table, latest_per_key(updates.select(*KEY, column, seq), seq), [column], columns)
 
 
 def delete_by_key(table: DataFrame, keys: DataFrame) -> DataFrame:

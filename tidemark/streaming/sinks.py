@@ -4,9 +4,10 @@ The upsert runs per micro-batch (``foreachBatch``) and rewrites only the
 table partitions the batch touches: the live table is partitioned by
 ``symbol`` and a date prefix (``part``), the touched partitions are read
 (dynamic partition pruning through the semi-join), merged with latest-wins,
-and written back with dynamic partition overwrite. Re-running a batch after a
-failure recomputes the same rows from the same inputs (latest-wins by
-``seq``), so the sink is idempotent.
+and written back with dynamic partition overwrite. The merged rows are staged
+first, in a folder named by the stream and its batch. A batch that is run again
+after a failure finds its complete stage and only publishes it once more, so
+partitions lost in a half-done overwrite come back whole.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.keyed import KEY, latest_per_key
 from tidemark.schemas import ENRICHED_COLUMNS
 from tidemark.session import scratch_path
-from tidemark.sources.fs import child_dirs
+from tidemark.sources.fs import child_dirs, exists
 from tidemark.sources.keyed_store import from_sink_types, to_sink_types
 
 PART_CHARS = 7  # 'yyyy-MM': partition unit of the live table
@@ -50,9 +51,8 @@ def _has_data(spark, root: str) -> bool:
     return bool(child_dirs(spark, root, "symbol="))
 
 
-def merge_partitions(changes: DataFrame, root: str, seq: str = "seq",
-                     columns: list[str] = ENRICHED_COLUMNS) -> None:
-    """Upsert ``changes`` (columns + ``seq``) into the live table at ``root``."""
+def _merged(changes: DataFrame, root: str, seq: str, columns: list[str]) -> DataFrame:
+    """All rows of the partitions that ``changes`` touch, after the upsert."""
     spark = changes.sparkSession
     ch = latest_per_key(changes.select(*columns, seq), seq).withColumn("part", F.substring("date", 1, PART_CHARS))
     if _has_data(spark, root):
@@ -61,15 +61,23 @@ def merge_partitions(changes: DataFrame, root: str, seq: str = "seq",
         old = (existing.join(touched, ["symbol", "part"], "left_semi")
                .join(ch.select(*KEY), KEY, "left_anti")
                .select(*columns, "part"))
-        merged = old.unionByName(ch.select(*columns, "part"))
-    else:
-        merged = ch.select(*columns, "part")
-    # Cut the lineage to the files about to be replaced: write the merged rows
-    # once under the shared checkpoint directory and read them back (an eager
-    # Dataset.checkpoint would compute the merge twice), then replace the
-    # touched partitions.
-    staged = scratch_path(spark, "merge")
-    to_sink_types(merged).write.mode("overwrite").parquet(staged)
+        return old.unionByName(ch.select(*columns, "part"))
+    return ch.select(*columns, "part")
+
+
+def merge_partitions(changes: DataFrame, root: str, seq: str = "seq",
+                     columns: list[str] = ENRICHED_COLUMNS, staged: str | None = None) -> None:
+    """Upsert ``changes`` (columns + ``seq``) into the live table at ``root``.
+
+    ``staged``: folder for the merged rows, of this batch alone. If an earlier
+    attempt completed it, it is published as it is.
+    """
+    spark = changes.sparkSession
+    # Staging cuts the lineage to the files about to be replaced (an eager
+    # Dataset.checkpoint would compute the merge twice).
+    staged = staged or scratch_path(spark, "merge")
+    if not exists(spark, f"{staged}/_SUCCESS"):
+        to_sink_types(_merged(changes, root, seq, columns)).write.mode("overwrite").parquet(staged)
     (spark.read.parquet(staged)
      .repartitionByRange("symbol", "part", "date")
      .sortWithinPartitions("symbol", "part", "date")
@@ -84,5 +92,7 @@ def read_live_table(spark, root: str) -> DataFrame:
 def upsert_sink(root: str):
     """foreachBatch function merging each micro-batch into the live table."""
     def _apply(batch: DataFrame, batch_id: int) -> None:
-        merge_partitions(batch, root)
+        # the query id is kept in the stream's checkpoint, so a restarted stream finds its stages
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        merge_partitions(batch, root, staged=f"{root.rstrip('/')}-staged/{stream}/batch={batch_id}" if stream else None)
     return _apply
