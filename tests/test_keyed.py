@@ -114,6 +114,14 @@ def test_stream_sink_merge_is_idempotent(spark):
                    ("B", "2024-01-01"): 1.0}
 
 
+def test_stream_sink_keeps_the_newer_row_from_a_late_batch(spark):
+    from tidemark.streaming.sinks import merge_partitions, read_live_table
+    root = scratch_path(spark, "test-late")
+    merge_partitions(_changes(spark, [_row("A", "2024-01-01", 5.0) + (5,)]), root)
+    merge_partitions(_changes(spark, [_row("A", "2024-01-01", 2.0) + (2,), _row("A", "2024-01-02", 3.0) + (3,)]), root)
+    assert {(r[1], r[5]) for r in read_live_table(spark, root).collect()} == {("2024-01-01", 5.0), ("2024-01-02", 3.0)}
+
+
 def test_stream_sink_survives_a_half_done_publish(spark, monkeypatch):
     from tidemark.streaming import sinks
     root = scratch_path(spark, "test-crash")

@@ -483,10 +483,9 @@ def message_log_path(spark: SparkSession, sf_dir: str) -> str:
         raw = BF.with_ticker_rows(BF.raw_bar_rows(bars(spark, sf_dir)))
         seqd = A.positions(raw, ["_ord", "Date"], within=[BF.FILE_SYMBOL],
                            bucket=F.coalesce(F.substring("Date", 1, 7), F.lit("")), name="seq")
-        msgs = MSG.encode(seqd.select(*RAW_BAR_COLUMNS)).select("value")
         msgs = seqd.select("seq", F.to_json(F.struct(*RAW_BAR_COLUMNS), {"ignoreNullFields": "false"}).alias("value"),
-                           F.coalesce(F.substring("Date", 1, 9), F.lit("")).alias("_slice"))
-        SRC.write_message_slices(msgs, path, "_slice")
+                           F.coalesce("Date", F.lit("")).alias("_at"))
+        SRC.land_messages(msgs, path, ["_at"], 2 * spark.sparkContext.defaultParallelism)
     return _cached_path(spark, sf_dir, "messages", land)
 
 

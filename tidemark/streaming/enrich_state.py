@@ -12,6 +12,10 @@ The fold only emits trailing sums and frame sizes; rounding and the flags are
 applied afterwards by the same Spark expressions as the batch plan, so both
 paths round in the same place.
 
+The state also keeps the last ``seq`` folded. A row behind it (its file or
+offset came late) is folded where it arrives, as in the reference, and flagged
+``late``: its averages differ from those of an ordered batch.
+
 Work per micro-batch and symbol is one vectorised pass (numpy over the
 symbol's rows), not a Python loop per row.
 """
@@ -35,10 +39,10 @@ from tidemark.schemas import ENRICHED_COLUMNS
 # path (only the driver imported it): ship this module's functions by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-STATE_SCHEMA = "closes array<double>, volumes array<bigint>"
+STATE_SCHEMA = "closes array<double>, volumes array<bigint>, last_seq bigint"
 FOLD_SCHEMA = ("symbol string, date string, open double, high double, low double, close double, "
-               "volume bigint, seq bigint, _csum double, _vsum bigint, _rows int")
-FOLD_COLUMNS = ["symbol", "date", "open", "high", "low", "close", "volume", "seq", "_csum", "_vsum", "_rows"]
+               "volume bigint, seq bigint, _csum double, _vsum bigint, _rows int, late boolean")
+FOLD_COLUMNS = ["symbol", "date", "open", "high", "low", "close", "volume", "seq", "_csum", "_vsum", "_rows", "late"]
 
 
 def trailing_sums(prev_closes, prev_volumes, closes: np.ndarray, volumes: np.ndarray):
@@ -68,24 +72,26 @@ def fold_symbol(key, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataF
         return
     pdf = pdf.sort_values("seq", kind="stable")
     if state.exists:
-        prev_c, prev_v = state.get
+        prev_c, prev_v, last_seq = state.get
         prev_c, prev_v = list(prev_c)[-HALO:], list(prev_v)[-HALO:]
     else:
-        prev_c, prev_v = [], []
+        prev_c, prev_v, last_seq = [], [], None
     closes = pdf["close"].to_numpy(dtype="float64")
     volumes = pdf["volume"].to_numpy(dtype="int64")
     csum, vsum, rows = trailing_sums(prev_c, prev_v, closes, volumes)
     all_c = (list(prev_c) + closes.tolist())[-WINDOW_ROWS:]
     all_v = (list(prev_v) + [int(x) for x in volumes])[-WINDOW_ROWS:]
-    state.update((all_c, all_v))
-    out = pdf.assign(_csum=csum, _vsum=vsum, _rows=rows)
+    late = pdf["seq"] < last_seq if last_seq is not None else False
+    known = [int(x) for x in (last_seq, pdf["seq"].max()) if not pd.isna(x)]
+    state.update((all_c, all_v, max(known, default=None)))
+    out = pdf.assign(_csum=csum, _vsum=vsum, _rows=rows, late=late)
     yield out[FOLD_COLUMNS]
 
 
 def stream_enrich(valid: DataFrame) -> DataFrame:
-    """Valid bar stream (BAR columns + seq) -> enriched stream (+ seq)."""
+    """Valid bar stream (BAR columns + seq) -> enriched stream (+ seq, late)."""
     folded = (valid.select(*FOLD_COLUMNS[:8])
               .groupBy("symbol")
               .applyInPandasWithState(fold_symbol, FOLD_SCHEMA, STATE_SCHEMA, "append",
                                       GroupStateTimeout.NoTimeout))
-    return finish_indicators(folded, F.col("_csum"), F.col("_vsum"), F.col("_rows")).select(*ENRICHED_COLUMNS, "seq")
+    return finish_indicators(folded, F.col("_csum"), F.col("_vsum"), F.col("_rows")).select(*ENRICHED_COLUMNS, "seq", "late")

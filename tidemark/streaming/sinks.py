@@ -3,7 +3,8 @@
 The upsert runs per micro-batch (``foreachBatch``) and rewrites only the
 table partitions the batch touches: the live table is partitioned by
 ``symbol`` and a date prefix (``part``), the touched partitions are read
-(dynamic partition pruning through the semi-join), merged with latest-wins,
+(dynamic partition pruning through the semi-join), merged so that the highest
+``seq`` of a key wins (the live table keeps it, so a late batch replaces no newer row),
 and written back with dynamic partition overwrite. The merged rows are staged
 first, in a folder named by the stream and its batch. A batch that is run again
 after a failure finds its complete stage and only publishes it once more, so
@@ -37,7 +38,7 @@ def _live_schema():
             fields.append(f)
     # Partition columns typed explicitly: inference would turn 'yyyy-MM' values
     # into non-strings and break the key match.
-    return T.StructType(fields + [T.StructField("symbol", T.StringType(), True),
+    return T.StructType(fields + [T.StructField("seq", T.LongType(), True), T.StructField("symbol", T.StringType(), True),
                                   T.StructField("part", T.StringType(), True)])
 
 
@@ -58,11 +59,14 @@ def _merged(changes: DataFrame, root: str, seq: str, columns: list[str]) -> Data
     if _has_data(spark, root):
         existing = _read_live(spark, root)
         touched = ch.select("symbol", "part").distinct()
+        rest = [c for c in columns if c not in KEY] + ["seq", "part"]
         old = (existing.join(touched, ["symbol", "part"], "left_semi")
-               .join(ch.select(*KEY), KEY, "left_anti")
-               .select(*columns, "part"))
-        return old.unionByName(ch.select(*columns, "part"))
-    return ch.select(*columns, "part")
+               .select(*KEY, F.struct(*rest).alias("_old")))
+        new = ch.withColumnRenamed(seq, "seq").select(*KEY, F.struct(*rest).alias("_new"))
+        row = F.when(F.col("_new").isNull() | (F.col("_old.seq") > F.col("_new.seq")), F.col("_old")).otherwise(F.col("_new"))
+        return (old.join(new, KEY, "full_outer").select(*KEY, row.alias("_row"))
+                .select(*[c if c in KEY else F.col(f"_row.{c}").alias(c) for c in columns], "_row.seq", "_row.part"))
+    return ch.withColumnRenamed(seq, "seq").select(*columns, "seq", "part")
 
 
 def merge_partitions(changes: DataFrame, root: str, seq: str = "seq",

@@ -4,7 +4,8 @@ Offline the stream is a directory of Parquet files (the file source replays
 them oldest first; ``maxFilesPerTrigger`` bounds each micro-batch). With a
 Kafka connector on the classpath the same shape comes from
 ``kafka_message_stream``: ``value`` cast to text and the partition offset as
-``seq``. Offsets live in the query checkpoint, which replaces the consumer
+``seq``, which orders a symbol's messages only if the topic is keyed by symbol
+(or has one partition). Offsets live in the query checkpoint, which replaces the consumer
 group's committed offsets and also holds the operator state.
 """
 
@@ -13,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.fs import stamp_in_order
+
 MESSAGE_SCHEMA = "seq bigint, value string"
 
 
@@ -35,12 +38,11 @@ def kafka_message_stream(spark: SparkSession, servers: str, topic: str,
     return r.load().select(F.col("offset").alias("seq"), F.col("value").cast("string").alias("value"))
 
 
-def write_message_slices(messages: DataFrame, path: str, slice_col: str) -> int:
-    """Land messages into ``path`` one slice value after the other (appends),
-    so the file source, which takes the oldest files first, replays them in
-    slice order. This is the offline stand-in for a producer; returns the
-    number of slices."""
-    values = [r[0] for r in messages.select(slice_col).distinct().orderBy(slice_col).collect()]
-    for v in values:
-        messages.filter(F.col(slice_col) == v).select("seq", "value").write.mode("append").parquet(path)
-    return len(values)
+def land_messages(messages: DataFrame, path: str, order: list[str], files: int) -> int:
+    """Land messages in one job: ``files`` ranges of ``order``, a file each,
+    stamped so that the file source, which takes the oldest files first,
+    replays them in that order. Rows of equal ``order`` share a file. Returns the
+    number of files; this is the offline stand-in for a producer."""
+    (messages.repartitionByRange(files, *order).sortWithinPartitions(*order)
+     .select("seq", "value").write.parquet(path))
+    return stamp_in_order(messages.sparkSession, path)
