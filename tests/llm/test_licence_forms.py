@@ -31,3 +31,11 @@ def test_usual_forms(spark):
     got = {r["path"]: r["license"] if r["origin"] == "own" else None for r in licenses.scan(files).collect()}
     assert {p: got[p] for p in FORMS} == {p: n for p, (_, n) in FORMS.items()}
     assert all(got[p] is None for p, _ in noise)
+
+
+def test_licence_file_at_the_root(spark):
+    files = spark.createDataFrame([("LICENSE", "Released under the MIT License."), ("src/a.py", "code"), ("b.py", "code"), ("src/x/c.py", "code"),
+                                   ("/abs/d.py", "code")], "path string, text string")
+    got = {r["path"]: (r["license"], r["origin"], r["licensed_by"]) for r in licenses.scan(files).collect()}
+    assert got["LICENSE"] == ("MIT", "own", None)
+    assert got["src/a.py"] == got["b.py"] == got["src/x/c.py"] == ("MIT", "inherited", "")

@@ -231,7 +231,7 @@ def scan(files: DataFrame, templates: DataFrame | None = None) -> DataFrame:
     spoken = told.where(F.col("own").isNotNull() & speaks & F.col("_dir").isNotNull()).groupBy(F.col("_dir").alias("parent")).agg(F.max("own").alias("given"))
     parts = F.split("_dir", "/")
     above = (told.where("_dir is not null").select("_dir").distinct()
-             .select("_dir", F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.struct(n.alias("depth"), F.array_join(F.slice(parts, F.lit(1), n), "/").alias("parent")))).alias("a")))
+             .select("_dir", F.explode(F.transform(F.sequence(F.lit(0), F.size(parts)), lambda n: F.struct(n.alias("depth"), F.array_join(F.slice(parts, F.lit(1), n), "/").alias("parent")))).alias("a")))
     nearest = (above.select("_dir", "a.*").join(spoken, "parent").groupBy("_dir")
                .agg(F.max(F.struct("depth", "parent", "given")).alias("near")))
     both = told.join(nearest, "_dir", "left")
