@@ -31,11 +31,6 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), GAP), lambda w: w != "")
 
 
-def folded_words(text: Column) -> Column:
-    """As words_of, with every letter lower-cased: equal words stay equal, and it is faster."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), GAP), lambda w: w != "")
-
-
 def _joined(left: Column, right: Column, skip: int, turn: int) -> Column:
     """Hashes of spans of ``skip`` words followed by those that begin ``skip`` words later.
 
@@ -92,16 +87,16 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_co
     if not lengths:
         return docs.limit(0).select("doc_id", "text", F.array().cast("array<string>").alias("words"),
                                     F.array().cast("array<int>").alias("spans"), F.array().cast("array<string>").alias("items"))
-    folded = windows.select("k", _hashed(F.transform("words", lambda w: F.lower(w))).alias("h"))
+    hashed = windows.select("k", _hashed(F.col("words")).alias("h"))
     hashes = None
     for k in lengths:
-        one = with_window_hashes(folded.where(F.col("k") == k), "h", [k], "w").select(F.explode_outer("w").alias("h"))
+        one = with_window_hashes(hashed.where(F.col("k") == k), "h", [k], "w").select(F.explode_outer("w").alias("h"))
         hashes = one if hashes is None else hashes.unionAll(one)
     hashes = stored(hashes.where("h is not null").distinct(), "window-hashes")
     hashes = F.broadcast(hashes) if hashes.count() <= BROADCAST_ROWS else hashes
 
     # one hash of id and text stands for a row; hashed words are computed once per row, below the explode
-    scanned = docs.select(F.xxhash64("doc_id", "text").alias("row"), _hashed(folded_words(F.col("text"))).alias("h"))
+    scanned = docs.select(F.xxhash64("doc_id", "text").alias("row"), _hashed(words_of(F.col("text"))).alias("h"))
     # explode_outer: for explode the optimizer infers size(w) > 0 and evaluates all of w a second time, step by step below
     grams = with_window_hashes(scanned, "h", lengths, "w").select("row", F.explode_outer("w").alias("h"))
     suspects = stored(grams.join(hashes, "h", "left_semi").select("row").distinct(), "suspects")
@@ -136,7 +131,7 @@ def report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
                            F.size("items").cast("long").alias("n_items"),
                            F.sha2(F.array_join(F.filter("items", lambda i: i != "\u0000"), ","), 256).alias("items_sha256")), "hits")
     base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("row"),
-                       F.size(folded_words(F.col(text_col))).cast("long").alias("n_words"))
+                       F.size(words_of(F.col(text_col))).cast("long").alias("n_words"))
     zero = F.lit(0).cast("long")
     return base.join(found, "row", "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"),
