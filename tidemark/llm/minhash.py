@@ -2,10 +2,12 @@
 
 A text's features are its five-word shingles, weighted tf x idf. Sketches of
 64 ICWS samples are cut into 16 bands of 4; texts that share a band are
-candidates; candidates are verified by exact weighted Jaccard similarity; the
-classes are the connected components of the verified links.
+candidates; candidates are verified by exact Jaccard similarity, linked when the
+weighted or the plain one (each shingle once, all weights equal) is ``SIMILARITY``
+or more; the classes are the connected components of the verified links. A text
+whose weights differ has a second sketch without weights, in the same buckets.
 
-Document frequencies cover all documents. They are counted in ``DF_BUCKETS``
+Document frequencies cover all distinct texts. They are counted in ``DF_BUCKETS``
 hash buckets (a sketch of fixed size), as shares of the corpus in steps of
 ``DF_STEP``: idf = ln((1 + s) / (share + s)), s = ``IDF_SMOOTH``. Collisions add
 about (shingles a text) / DF_BUCKETS to a share, well below one step at any
@@ -57,33 +59,78 @@ def idf(level: np.ndarray) -> np.ndarray:
 
 # --- document frequencies -------------------------------------------------
 
+def _digest(words: np.ndarray) -> bytes:
+    return hashlib.blake2b(words.tobytes(), digest_size=16).digest()
+
+
+def _buckets(words: np.ndarray) -> np.ndarray:
+    return np.unique(shingles(words, SHINGLE) % np.uint64(DF_BUCKETS)).astype("int64")
+
+
 def _count_buckets(batches):
     counts = np.zeros(DF_BUCKETS, dtype="int64")
-    texts_seen = 0
+    shape = {"bucket": pa.int64(), "n": pa.int64(), "content": pa.binary()}
     for batch in batches:
         texts = batch.column(0)
         for start, end in text_slices(texts):
+            seen = []
             for words in texts_words(texts, start, end):
                 if len(words):
-                    counts[np.unique(shingles(words, SHINGLE) % np.uint64(DF_BUCKETS)).astype("int64")] += 1
-                    texts_seen += 1
+                    counts[_buckets(words)] += 1
+                    seen.append(_digest(words))
+            yield pa.RecordBatch.from_pydict({"bucket": [-1] * len(seen), "n": [1] * len(seen), "content": seen}, schema=pa.schema(shape))
+    used = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_pydict({"bucket": used, "n": counts[used], "content": [None] * len(used)}, schema=pa.schema(shape))
+
+
+def _heavy_lists(heavy):
+    """(content, its buckets among ``heavy``) of the texts that have some."""
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(0)
+            for start, end in text_slices(texts):
+                content, lists = [], []
+                for words in texts_words(texts, start, end):
+                    if len(words):
+                        found = _buckets(words)
+                        found = found[heavy.value[found]]
+                        if len(found):
+                            content.append(_digest(words)), lists.append(found.astype("<u4").tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(content, pa.binary()), pa.array(lists, pa.binary())], names=["content", "buckets"])
+    return run
+
+
+def _count_lists(batches):
+    counts = np.zeros(DF_BUCKETS, dtype="int64")
+    for batch in batches:
+        for found in batch.column(0).to_pylist():
+            counts[np.frombuffer(found, "<u4")] += 1
     used = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_pydict({"bucket": np.append(used, -1), "n": np.append(counts[used], texts_seen)})
+    yield pa.RecordBatch.from_pydict({"bucket": used, "n": counts[used]})
 
 
 def frequent_levels(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Level (share of texts in steps of DF_STEP) of each bucket, 0 for most.
+    """Level (share of the distinct texts in steps of DF_STEP) of each bucket, 0 for most.
 
-    At most DF_BUCKETS small rows reach the driver, whatever the corpus.
+    A bucket can only reach a level if it does so with every copy counted, so only such buckets are counted
+    again over the distinct texts. At most DF_BUCKETS small rows reach the driver, whatever the corpus.
     """
-    counts = stored(docs.select(text_col).mapInArrow(_count_buckets, "bucket long, n long")
-                    .groupBy("bucket").agg(F.sum("n").alias("n")), "df")
-    total = counts.where("bucket = -1").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    spark = docs.sparkSession
+    seen = stored(docs.select(text_col).mapInArrow(_count_buckets, "bucket long, n long, content binary"), "df")
+    texts, total = seen.where("bucket = -1").groupBy("content").agg(F.sum("n").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     levels = np.zeros(DF_BUCKETS, dtype="uint8")
-    if total:
-        heavy = counts.where((F.col("bucket") >= 0) & (F.col("n") >= DF_STEP * total)).collect()
-        for row in heavy:
-            levels[row["bucket"]] = min(int(row["n"] / total / DF_STEP), 100)
+    if not total:
+        return levels
+    often = F.col("n") >= DF_STEP * total
+    counts = seen.where("bucket >= 0").groupBy("bucket").agg(F.sum("n").alias("n")).where(often).collect()
+    if counts and texts > total:
+        heavy = np.zeros(DF_BUCKETS, dtype=bool)
+        heavy[[row["bucket"] for row in counts]] = True
+        lists = docs.select(text_col).mapInArrow(_heavy_lists(spark.sparkContext.broadcast(heavy)), "content binary, buckets binary")
+        lists = lists.groupBy("content").agg(F.first("buckets").alias("buckets")).select("buckets")  # equal texts have equal lists
+        counts = lists.mapInArrow(_count_lists, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where(often).collect()
+    for row in counts:
+        levels[row["bucket"]] = min(int(row["n"] / total / DF_STEP), 100)
     return levels
 
 
@@ -101,6 +148,14 @@ def weighted_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarra
     return low / high if high > 0 else 1.0
 
 
+def similar(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> bool:
+    """Weighted or plain Jaccard similarity of SIMILARITY or more."""
+    if weighted_jaccard(a, wa, b, wb) >= SIMILARITY:
+        return True
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= SIMILARITY * (len(a) + len(b) - both)
+
+
 # --- sketches -------------------------------------------------------------
 
 def _variates():
@@ -163,10 +218,14 @@ def _sketcher(levels):
                     if not len(words):
                         content.append(None), bands.append(None), short.append(None)
                         continue
-                    samples = sketch(*features(words, levels.value))
-                    content.append(hashlib.blake2b(words.tobytes(), digest_size=16).digest())
-                    bands.append(band_keys(samples))
-                    short.append((samples >> np.uint64(32)).astype("<u4").tobytes())
+                    found, weights = features(words, levels.value)
+                    usual = np.full_like(weights, idf(np.zeros(1))[0])
+                    sketches = [sketch(found, weights)]
+                    if (weights != usual).any():
+                        sketches.append(sketch(found, usual))
+                    content.append(_digest(words))
+                    bands.append(np.concatenate([band_keys(samples) for samples in sketches]))
+                    short.append((np.concatenate(sketches) >> np.uint64(32)).astype("<u4").tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, end - start), pa.array(content, pa.binary()),
                      pa.array(bands, pa.list_(pa.int64())), pa.array(short, pa.binary())],
@@ -176,16 +235,16 @@ def _sketcher(levels):
 
 # --- candidates and links ---------------------------------------------------
 
-def _pairs(samples: list[bytes], bands: np.ndarray, side: np.ndarray, two_sided: bool):
+def _pairs(samples: list[bytes], ids: np.ndarray, bands: np.ndarray, side: np.ndarray, two_sided: bool):
     """(i, the later partners j, their agreement) among one block of one bucket.
 
-    A pair belongs to the first band its texts share, so each is looked at once.
+    A pair belongs to the first band its sketches share, so each is looked at once.
     """
     s = np.frombuffer(b"".join(samples), dtype="<u4").reshape(len(samples), HASHES)
     for i in range(len(s) - 1):
         same = s[i + 1:] == s[i]
         agree = same.mean(axis=1)
-        ok = (agree >= MIN_AGREE) & (same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == bands[i])
+        ok = (agree >= MIN_AGREE) & (ids[i + 1:] != ids[i]) & (same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == bands[i])
         if two_sided:
             ok &= side[i + 1:] != side[i]
         if ok.any():
@@ -199,12 +258,12 @@ def _columns(table: pa.Table):
 
 def _with_partner(table: pa.Table):
     """Members of a block that have a candidate."""
-    keys, _, bands, side = _columns(table)
+    keys, ids, bands, side = _columns(table)
     samples = table.column("samples").to_pylist()
     bounds = group_bounds(keys)
     wanted = np.zeros(table.num_rows, dtype=bool)
     for lo, hi in zip(bounds, bounds[1:]):
-        for i, partners, _ in _pairs(samples[lo:hi], bands[lo:hi], side[lo:hi], keys[1][lo] != keys[2][lo]):
+        for i, partners, _ in _pairs(samples[lo:hi], ids[lo:hi], bands[lo:hi], side[lo:hi], keys[1][lo] != keys[2][lo]):
             wanted[lo + i] = True
             wanted[lo + partners] = True
     yield from table.filter(pa.array(wanted)).combine_chunks().to_batches()
@@ -220,11 +279,11 @@ def _links(table: pa.Table):
     left, right = [], []
     for lo, hi in zip(bounds, bounds[1:]):
         part = np.arange(hi - lo)
-        for i, partners, agree in _pairs(samples[lo:hi], bands[lo:hi], side[lo:hi], keys[1][lo] != keys[2][lo]):
+        for i, partners, agree in _pairs(samples[lo:hi], ids[lo:hi], bands[lo:hi], side[lo:hi], keys[1][lo] != keys[2][lo]):
             for j in partners[np.argsort(-agree, kind="stable")]:
                 if part[i] == part[j]:
                     continue
-                if weighted_jaccard(found[lo + i], weights[lo + i], found[lo + j], weights[lo + j]) >= SIMILARITY:
+                if similar(found[lo + i], weights[lo + i], found[lo + j], weights[lo + j]):
                     part[part == part[j]] = part[i]
                     left.append(ids[lo + i]), right.append(ids[lo + j])
     yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
@@ -281,14 +340,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .select(F.col("doc_id").alias("id"), "content", "bands", "samples").dropDuplicates(["id", "content"]))
     texts = stored(texts, "texts")
 
-    members = texts.select("id", F.posexplode("bands").alias("band", "key"))
+    members = (texts.select("id", F.posexplode("bands").alias("at", "key"))
+               .select("id", "key", F.pmod("at", F.lit(BANDS)).alias("band"), F.floor(F.col("at") / BANDS).cast("int").alias("version")))
     sizes = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     spread = (members.join(sizes, "key")
               .withColumn("side", F.pmod(F.xxhash64("id"), blocks).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-              .select("key", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "id", "band", "side")
-              .join(texts.select("id", "samples"), "id"))
+              .select("key", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "id", "band", "side", "version")
+              .join(texts.select("id", F.col("samples").alias("every")), "id")
+              .withColumn("samples", F.substring("every", F.col("version") * (4 * HASHES) + 1, F.lit(4 * HASHES))).drop("every", "version"))
     shape = "id long, key long, x int, y int, band int, side int, samples binary"
     wanted = stored(map_groups(spread, ["key", "x", "y"], _with_partner, shape, ["id"]), "candidates")
     # the same join at every size: the ids are a share of the corpus, so no broadcast
