@@ -45,7 +45,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: none, one or two rows."""
     key, copies, copy = fresh(docs, "_id"), fresh(docs, "_copies"), fresh(docs, "_copy")
-    taken = mixing.mix(docs).where("copies > 0").groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(copies))
+    taken = mixing.mix(docs, pass_over=True).where("copies > 0").groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(copies))
     return (docs.join(stored(taken, "copies"), F.col("doc_id").eqNullSafe(F.col(key)))
             .withColumn(copy, F.explode(F.sequence(F.lit(1), copies))).select(*docs.columns))
 

@@ -78,10 +78,11 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: floa
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", preference: str | None = None,
-        weights=WEIGHTS, share: float = SHARE, cap: float = MAX_COPIES, seed: str = SEED) -> DataFrame:
+        weights=WEIGHTS, share: float = SHARE, cap: float = MAX_COPIES, seed: str = SEED, pass_over: bool = False) -> DataFrame:
     """One row per input row: doc_id, size, source_size, target, copies (0 .. cap), taken.
 
     ``preference``: a positive column that multiplies a document's inclusion odds (unequal probabilities within a source).
+    ``pass_over``: a document too long for what is left takes no words from those after it. The SQL statement counts its words all the same.
     """
     sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
                         (F.col(preference).cast("double") if preference else F.lit(1.0)).alias("preference"))
@@ -96,6 +97,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     # rank = x / odds, and a source's odds are one number: x / (1 + x) has the same order, spread over (0, 1)
     slotted = (ranked.withColumn("place", F.coalesce(F.col("x") / (1 + F.col("x")), F.lit(1.0)))
                .withColumn("slot", F.least(F.floor(F.col("place") * SLOTS), F.lit(SLOTS - 1)).cast("int")))
+    if pass_over:
+        told = _passing_over(slotted)
+        copies = F.when(F.col("size") > 0, F.col("whole") + F.col("more").cast("int")).otherwise(0)
+    else:
+        told, left = _ahead(slotted)
+        more = (F.coalesce("odds", F.lit(0.0)) > 0) & (left > 0) & (F.col("size") <= 2 * left)  # nearer to the target with it than without
+        copies = F.when(F.col("size") > 0, F.col("whole") + more.cast("int")).otherwise(0)
+    return told.select("doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+
+
+def _ahead(slotted: DataFrame) -> tuple[DataFrame, Column]:
+    """``slotted`` with the words ahead of each row in its slot and in the slots before, and what they leave of the target."""
     keys = ["source", "slot"]
     slots = slotted.groupBy(*keys).agg(F.sum("size").alias("words"))
     ahead = Window.partitionBy("source").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)  # SLOTS rows a source
@@ -105,9 +118,36 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     told = told.join(slots.withColumnRenamed("source", "s").withColumnRenamed("slot", "t"),
                      F.col("source").eqNullSafe(F.col("s")) & (F.col("slot") == F.col("t")))
     left = F.col("target") - F.col("whole") * F.col("source_size") - F.col("before") - F.col("before_slot")
-    more = (F.coalesce("odds", F.lit(0.0)) > 0) & (left > 0) & (F.col("size") <= 2 * left)  # nearer to the target with it than without
-    copies = F.when(F.col("size") > 0, F.col("whole") + more.cast("int")).otherwise(0)
-    return told.select("doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+    return told, left
+
+
+def _passing_over(slotted: DataFrame) -> DataFrame:
+    """``slotted`` plus ``more``: taken in order, where a document too long for what is left is left out of the running sum.
+
+    A round takes each source's documents up to the first that is too long; the next goes on behind it, without those longer
+    than twice what is left then (what is left only shrinks, so they stay too long). Rows without a copy to settle take no part.
+    """
+    base = stored(slotted.withColumn("_row", F.monotonically_increasing_id()), "to-mix")
+    rest = base.where("size > 0 and odds > 0")
+    taken = None
+    while True:
+        need = F.col("target") - F.col("whole") * F.col("source_size")
+        told, left = _ahead(rest.where(F.col("size") <= 2 * need))
+        told = stored(told.withColumn("_at", F.col("before") + F.col("before_slot")).withColumn("_left", left)
+                      .select(*rest.columns, "_at", "_left").where("_left > 0"), "mix-round")
+        stops = stored(told.where("size > 2 * _left").groupBy("source").agg(F.min("_at").alias("_stop"), F.max_by("_left", -F.col("_at")).alias("_open")), "mix-stops")
+        told = told.join(stops.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left")
+        now = told.where("_stop is null or _at < _stop").select("_row")
+        taken = now if taken is None else taken.unionAll(now)
+        if not stops.head(1):
+            break
+        # rows with nothing left at their place can fit again once the long one is out, so they come from the round's input
+        rest = (rest.join(stops.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
+                .join(told.where("_at <= _stop").select("_row"), "_row", "left_anti")
+                .withColumn("target", F.col("_open") + F.col("whole") * F.col("source_size")).select(*rest.columns))
+        rest = stored(rest, "mix-rest")
+    taken = stored(taken.withColumn("more", F.lit(True)), "mix-taken")
+    return base.join(taken, "_row", "left").withColumn("more", F.coalesce("more", F.lit(False)))
 
 
 ORACLE = r"""
