@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import analysis as A
 from tidemark.plans.catalog import enriched
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_anomaly_counts_sum_to_summary(spark):

@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 from tidemark.plans.catalog import QUERIES
 from tidemark.plans.oracle import ORACLE
 
-from conftest import SF_SMOKE
+from paths import SF_SMOKE
 
 TABLES = ["events", "lineitem", "orders"]
 

@@ -3,7 +3,7 @@ aggregation for bars, pushed filters and partition pruning on reads."""
 
 from tidemark.plans.catalog import QUERIES, bars, enriched
 
-from conftest import SF_SMOKE
+from paths import SF_SMOKE
 
 
 def _plan(df):
@@ -51,3 +51,10 @@ def test_row_local_analysis_has_no_window(spark):
 def test_bounded_acquisition_pushes_its_range(spark):
     p = QUERIES["ohlcv_bars_range"](spark, SF_SMOKE)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts" in p and "LessThan(ts" in p
+
+
+def test_no_module_is_read_from_conftest():
+    # two folders have a conftest, so its names depend on which was imported first; a module that reads it may not collect
+    import pathlib
+    here = pathlib.Path(__file__).parent
+    assert not [p.name for p in here.rglob("test_*.py") if "from conf" + "test import" in p.read_text()]

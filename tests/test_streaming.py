@@ -12,7 +12,7 @@ from tidemark.sources.bars import bars
 from tidemark.streaming.enrich_state import stream_enrich, trailing_sums
 from tidemark.streaming.source import file_message_stream
 
-from conftest import SF_SMOKE
+from paths import SF_SMOKE
 
 import numpy as np
 
