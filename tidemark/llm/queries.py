@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, hnsw, language, licenses, minhash, mixing, token_counts, token_files, warc
+from tidemark.llm import chat, decontaminate, hnsw, language, licenses, minhash, mixing, token_counts, token_files, trie, warc
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
 
@@ -80,3 +80,8 @@ def op2(spark, sf_dir):
 @query("op3_license_scan", licenses.ORACLE)
 def op3(spark, sf_dir):
     return licenses.scan(licenses.document_paths(table(spark, sf_dir, "documents")))
+
+
+@query("op12_prefix_trie", trie.ORACLE)
+def op12(spark, sf_dir):
+    return trie.trie(table(spark, sf_dir, "conversations"))
