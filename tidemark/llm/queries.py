@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, hnsw, language, licenses, minhash, mixing, token_counts, token_files, trie, warc
+from tidemark.llm import chat, codes, decontaminate, hnsw, language, licenses, minhash, mixing, token_counts, token_files, trie, warc
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
 
@@ -85,3 +85,8 @@ def op3(spark, sf_dir):
 @query("op12_prefix_trie", trie.ORACLE)
 def op12(spark, sf_dir):
     return trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op11_vector_codes", codes.ORACLE)
+def op11(spark, sf_dir):
+    return codes.digest(codes.compress(table(spark, sf_dir, "embeddings")))
