@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, codes, decontaminate, hnsw, language, licenses, minhash, mixing, token_counts, token_files, trie, warc
+from tidemark.llm import chat, codes, decontaminate, hnsw, language, licenses, minhash, mixing, token_counts, token_files, toxicity, trie, warc
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
 
@@ -90,3 +90,8 @@ def op12(spark, sf_dir):
 @query("op11_vector_codes", codes.ORACLE)
 def op11(spark, sf_dir):
     return codes.digest(codes.compress(table(spark, sf_dir, "embeddings")))
+
+
+@query("op13_toxicity")
+def op13(spark, sf_dir):
+    return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
