@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import bench_date_key, pct_change, round_half_even
 from tidemark.operators import analysis as A
-from tidemark.operators import keyed as K
 from tidemark.operators import profile as P
 from tidemark.operators import rollups as R
 from tidemark.operators import validate as VAL
@@ -24,6 +23,7 @@ from tidemark.session import scratch_path
 from tidemark.sources import bar_files as BF
 from tidemark.sources import keyed_store as KS
 from tidemark.sources import messages as MSG
+from tidemark.sources import snapshots as SNAP
 from tidemark.sources.fs import child_dirs
 from tidemark.sources.bars import bar_date, bars, order_bars
 from tidemark.sources.tables import read_table
@@ -264,7 +264,7 @@ def q_profile_lineitem_nulls(spark, sf_dir):
 # --- keyed table ----------------------------------------------------------------
 
 
-_STORES: dict[tuple, str] = {}
+_STORES: dict[tuple, object] = {}
 
 # Reads of the keyed table: one symbol, a closed date range, a point.
 SCAN_SYMBOL = "click"
@@ -272,18 +272,32 @@ RANGE_START, RANGE_END = "2024-01-10", "2024-01-20"
 POINT_DATE = "2024-01-15 10"
 
 
-def keyed_table_root(spark: SparkSession, sf_dir: str) -> str:
-    """The enriched bars stored once per session as version 0 of a keyed table."""
-    k = (spark.sparkContext.applicationId, sf_dir, "enriched")
+def stored_version(spark: SparkSession, sf_dir: str, version: int) -> SNAP.Snapshot:
+    """The stored bars after the first ``version`` changes: 0 enriched, 1 puts, 2 updates, 3 deletes.
+
+    A version is written once per session, from the one before it, so a query
+    reads the same rows whichever queries ran before.
+    """
+    k = (spark.sparkContext.applicationId, sf_dir, "snapshots", version)
     if k not in _STORES:
-        root = scratch_path(spark, "keyed")
-        KS.write_version(enriched(spark, sf_dir), root, 0)
-        _STORES[k] = root
+        if version == 0:
+            _STORES[k] = SNAP.create(enriched(spark, sf_dir), scratch_path(spark, "snapshots"))
+        else:
+            base = stored_version(spark, sf_dir, version - 1)
+            _STORES[k] = SNAP.commit(base, _change(spark, sf_dir, base))
     return _STORES[k]
 
 
+def _change(spark: SparkSession, sf_dir: str, base: SNAP.Snapshot) -> DataFrame:
+    """The rows after ``base``'s next change, not yet stored."""
+    if base.version == 0:
+        return base.put(bench_puts(spark, sf_dir))
+    updates = bench_updates(spark, sf_dir)
+    return base.update(updates, "pct_change") if base.version == 1 else base.delete(updates)
+
+
 def stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return KS.read_version(spark, keyed_table_root(spark, sf_dir))
+    return stored_version(spark, sf_dir, 0).frame()
 
 
 def bench_puts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,28 +321,6 @@ def bench_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
                      round_half_even("value", 2).alias("pct_change"), F.col("event_id").alias("seq"))
 
 
-def after_puts(spark, sf_dir):
-    return K.upsert_latest(stored_table(spark, sf_dir), bench_puts(spark, sf_dir))
-
-
-def after_updates(spark, sf_dir):
-    return K.partial_update(after_puts(spark, sf_dir), bench_updates(spark, sf_dir), "pct_change")
-
-
-def after_deletes(spark, sf_dir):
-    return K.delete_by_key(after_updates(spark, sf_dir), bench_updates(spark, sf_dir).select(*K.KEY))
-
-
-def stored_after_puts(spark, sf_dir) -> DataFrame:
-    """The table after the puts, published as version 1 and read back."""
-    k = (spark.sparkContext.applicationId, sf_dir, "after_puts")
-    root = keyed_table_root(spark, sf_dir)
-    if k not in _STORES:
-        KS.write_version(after_puts(spark, sf_dir), root, 1)
-        _STORES[k] = root
-    return KS.read_version(spark, root, 1)
-
-
 @query("full_scan")
 def q_full_scan(spark, sf_dir):
     return stored_table(spark, sf_dir)
@@ -344,44 +336,51 @@ def q_decimal_sink(spark, sf_dir):
 
 @query("upsert_latest")
 def q_upsert_latest(spark, sf_dir):
-    return after_puts(spark, sf_dir)
+    return _change(spark, sf_dir, stored_version(spark, sf_dir, 0))
 
 
 @query("partial_update")
 def q_partial_update(spark, sf_dir):
-    return after_updates(spark, sf_dir)
+    return _change(spark, sf_dir, stored_version(spark, sf_dir, 1))
 
 
 @query("delete_by_key")
 def q_delete_by_key(spark, sf_dir):
-    return after_deletes(spark, sf_dir)
+    return _change(spark, sf_dir, stored_version(spark, sf_dir, 2))
 
 
 @query("delete_by_prefix")
 def q_delete_by_prefix(spark, sf_dir):
     # The cleanup covers every symbol of the table (symbols=None), so no
     # symbol list has to be gathered on the driver.
-    return K.delete_by_prefix(after_deletes(spark, sf_dir), BENCH_PREFIX)
+    return stored_version(spark, sf_dir, 3).delete_prefix(BENCH_PREFIX)
 
 
 @query("symbol_scan")
 def q_symbol_scan(spark, sf_dir):
-    return K.symbol_scan(stored_after_puts(spark, sf_dir), SCAN_SYMBOL)
+    return stored_version(spark, sf_dir, 1).symbol(SCAN_SYMBOL)
 
 
 @query("symbol_date_range")
 def q_symbol_date_range(spark, sf_dir):
-    return K.symbol_date_range(stored_after_puts(spark, sf_dir), SCAN_SYMBOL, RANGE_START, RANGE_END)
+    return stored_version(spark, sf_dir, 1).between(SCAN_SYMBOL, RANGE_START, RANGE_END)
 
 
 @query("prefix_scan")
 def q_prefix_scan(spark, sf_dir):
-    return K.prefix_scan(stored_after_puts(spark, sf_dir), SCAN_SYMBOL, BENCH_PREFIX)
+    return stored_version(spark, sf_dir, 1).prefix(SCAN_SYMBOL, BENCH_PREFIX)
 
 
 @query("point_lookup")
 def q_point_lookup(spark, sf_dir):
-    return K.point_lookup(stored_after_puts(spark, sf_dir), SCAN_SYMBOL, POINT_DATE)
+    return stored_version(spark, sf_dir, 1).point(SCAN_SYMBOL, POINT_DATE)
+
+
+@query("snapshot_history")
+def q_snapshot_history(spark, sf_dir):
+    # Rows and symbols of every stored version, each read as of itself.
+    last = stored_version(spark, sf_dir, 3)
+    return SNAP.history(spark, last.root).where(F.col("version") <= 3)
 
 
 # --- ingest: raw files, messages, rejects ----------------------------------------

@@ -204,6 +204,9 @@ ORACLE["delete_by_prefix"] = KEYED + "SELECT * FROM T3 WHERE NOT starts_with(dat
 ORACLE["symbol_scan"] = KEYED + "SELECT * FROM T1 WHERE symbol = 'click'"
 ORACLE["symbol_date_range"] = KEYED + "SELECT * FROM T1 WHERE symbol = 'click' AND date BETWEEN '2024-01-10' AND '2024-01-20'"
 ORACLE["prefix_scan"] = KEYED + "SELECT * FROM T1 WHERE symbol = 'click' AND starts_with(date, 'BENCH-')"
+_LATER = {0: "E", 1: "T1", 2: "T2", 3: "T3"}
+ORACLE["snapshot_history"] = KEYED + " UNION ALL ".join(
+    f"SELECT CAST({v} AS BIGINT) AS version, count(*) AS rows, count(DISTINCT symbol) AS symbols FROM {t}" for v, t in _LATER.items())
 ORACLE["point_lookup"] = KEYED + "SELECT * FROM T1 WHERE symbol = 'click' AND date = '2024-01-15 10'"
 
 

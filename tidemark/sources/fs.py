@@ -17,6 +17,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder that nothing reads any more."""
+    fs, p, _ = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def child_dirs(spark: SparkSession, root: str, prefix: str) -> list[str]:
     """Names of the sub-directories of ``root`` starting with ``prefix``."""
     fs, p, _ = _fs(spark, root)
