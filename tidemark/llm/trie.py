@@ -2,13 +2,18 @@
 
 A node is a distinct sequence of first turns (role, text); its members are the
 conversations that start with it. Turns become positional columns, ``WIDTH`` a
-block, and one ROLLUP over a block's columns aggregates all its prefixes
-together; ``grouping_id`` tells a prefix's length. A longer conversation goes on
-in the next block, keyed by the node it reached in this one. Sums over subtrees
-are the same ROLLUP over the nodes, from the last block to the first.
-
-A turn's column holds ``TURN`` bytes: half a SHA-256 of role and text (128 bits,
-so that different turns do not meet at any size), then the words of the text. A
+block, and one ROLLUP over a block's columns, within its key, aggregates all
+prefixes together; ``grouping_id`` tells a prefix's length. A longer conversation
+goes on in further blocks, each keyed by the node the one before it reached.
+
+That node is the sequence of the full blocks so far, so the keys come from the same
+construction one level up, where a turn is a full block: a conversation of n turns
+takes log n levels, not a step a block, and all blocks of a level share one
+ROLLUP. Sums over subtrees are a ROLLUP over the nodes; what lies in later
+blocks reaches a node as the sum of its key's subtree one level up.
+
+A turn's column holds half a SHA-256 of role and text (128 bits, so that
+different turns do not meet at any size), then the words of the text in 8 bytes. A
 node is known by 128 bits of its block's key and its columns.
 
 Defined results: a null role or text counts as empty; null turn numbers come
@@ -28,11 +33,11 @@ from tidemark.llm.common import stored
 
 WIDTH = 8
 DIGEST = 16
-TURN = DIGEST + 8
 SALTS = 64
 CHUNK = 4096
 GROUP = 20  # conversations that share the first turns of the first of them
 NOTHING = b""
+ROOT = b"root"
 
 
 def word_count(text: Column) -> Column:
@@ -100,31 +105,72 @@ def _columns(width: int) -> list[str]:
     return [f"t{i}" for i in range(1, width + 1)]
 
 
-def _path(width: int, parent: bool = False) -> Column:
-    """The node of the given columns: a digest of the block's key and the turns that are there (all of one length); or its parent, with column j."""
-    turns = [F.col(c) if not parent else F.when(F.col("j") != i, F.col(c)) for i, c in enumerate(_columns(width), 1)]
-    return _half(F.concat(F.col("key"), *[F.coalesce(t, F.lit(NOTHING)) for t in turns]))
+def _digest(columns: list[Column]) -> Column:
+    """Of a key and the turns that are there (all of one length)."""
+    return _half(F.concat(*[F.coalesce(c, F.lit(NOTHING)) for c in columns]))
+
+
+def _reached(width: int) -> Column:
+    """The node that a block's turns end at."""
+    names = _columns(width)
+    return F.when(F.col(names[-1]).isNotNull(), F.col("next")).otherwise(_digest([F.col("key"), *map(F.col, names)]))
+
+
+def keyed_blocks(turns: DataFrame, width: int) -> list[DataFrame]:
+    """Blocks of (conv_id, tid, at), then those of their full blocks, and so on up to a level of one block a conversation.
+
+    conv_id, block (from 0), t1 .. (null where it has ended), key: the node before the block, next: the node after it, if it is full.
+    """
+    names = _columns(width)
+    place = F.pmod(F.col("at") - 1, F.lit(width))
+    blocks = (turns.groupBy("conv_id", F.floor((F.col("at") - 1) / width).cast("long").alias("block"))
+              .agg(*[F.max(F.when(place == i, F.col("tid"))).alias(c) for i, c in enumerate(names)]))
+    blocks = stored(blocks, "trie-blocks")
+    root, full = F.lit(ROOT), F.col(names[-1]).isNotNull()
+    if not (blocks.agg(F.max("block")).first()[0] or 0):
+        return [stored(blocks.withColumn("key", root).withColumn("next", F.when(full, _digest([root, *map(F.col, names)]))), "trie-keyed")]
+    above = keyed_blocks(blocks.where(full).select("conv_id", _digest([F.col(c) for c in names]).alias("tid"), (F.col("block") + 1).alias("at")), width)
+    # the node after each full block: a prefix of the block above that holds it
+    after = F.array(*[F.struct(F.lit(i).cast("long").alias("i"), F.col(c).isNotNull().alias("there"),
+                               (F.col("next") if i == width else _digest([F.col("key"), *[F.col(x) for x in names[:i]]])).alias("node")) for i, c in enumerate(names, 1)])
+    nodes = (above[0].select("conv_id", "block", F.explode(after).alias("a")).where("a.there")
+             .select("conv_id", (F.col("block") * width + F.col("a.i")).alias("block"), F.col("a.node").alias("node")))
+    nodes = stored(nodes, "trie-reached")
+    own = blocks.join(nodes.withColumnRenamed("node", "key"), ["conv_id", "block"], "left").withColumn("key", F.coalesce("key", root))
+    own = own.join(nodes.select("conv_id", (F.col("block") - 1).alias("block"), F.col("node").alias("next")), ["conv_id", "block"], "left")
+    return [stored(own, "trie-keyed"), *above]
 
 
 def _prefixes(rows: DataFrame, width: int, *measures: Column) -> DataFrame:
-    """One row per prefix within the block: key, the turns, j (0: the key alone), and the measures.
+    """One row per prefix: key, the turns, j (their number), path, parent, and the measures.
 
     A row whose turns end before a prefix does falls out of it.
     """
     names = _columns(width)
-    grouped = (rows.withColumnRenamed("key", "block_key").rollup("block_key", *names)
-               .agg(F.grouping_id().alias("gid"), *measures).withColumnRenamed("block_key", "key"))
-    j = F.lit(width) - F.bit_count("gid").cast("int")
-    grouped = grouped.withColumn("j", j).drop("gid").where("j >= 0")
-    last = F.try_element_at(F.array(*names), F.col("j"))
-    return grouped.where((F.col("j") == 0) | F.when(F.col("j") > 0, last).isNotNull())
+    grouped = rows.rollup("key", *names).agg(F.grouping_id().alias("gid"), F.max("next").alias("next"), *measures)
+    grouped = grouped.withColumn("j", F.lit(width) - F.bit_count("gid").cast("int")).where("j > 0")
+    turns = [F.col(c) for c in names]
+    grouped = grouped.where(F.try_element_at(F.array(*names), F.col("j")).isNotNull())
+    shorter = _digest([F.col("key"), *[F.when(F.col("j") != i, c) for i, c in enumerate(turns, 1)]])
+    # the next block's key is of use for the whole block alone
+    path = F.when(F.col("j") == width, F.col("next")).otherwise(_digest([F.col("key"), *turns]))
+    return (grouped.withColumn("path", path).withColumn("parent", F.when(F.col("j") == 1, F.col("key")).otherwise(shorter))
+            .withColumn("next", F.when(F.col("j") == width, F.col("next"))).drop("gid"))
 
 
-def _blocks(turns: DataFrame, width: int) -> DataFrame:
-    """(conv_id, block, t1 ..): a row per conversation and WIDTH turns; null where it has ended."""
-    place = F.pmod(F.col("at") - 1, F.lit(width))
-    return (turns.groupBy("conv_id", F.floor((F.col("at") - 1) / width).cast("long").alias("block"))
-            .agg(*[F.max(F.when(place == i, F.col("tid"))).alias(c) for i, c in enumerate(_columns(width))]))
+def _subtrees(levels: list[DataFrame], values: DataFrame, width: int) -> DataFrame:
+    """(path, leaves, saved) summed over the subtree of each node of the lowest level; ``values``: the same of the nodes alone.
+
+    ``levels``: the prefixes of each level. A block's own sum is the value of its key, which is a node one level up.
+    """
+    names, here = _columns(width), levels[0]
+    rows = stored(here.select("key", *names, "next", "path", "j").join(values, "path"), "trie-values")
+    if len(levels) > 1:
+        blocks = rows.where(F.col("key") != F.lit(ROOT)).groupBy(F.col("key").alias("path")).agg(F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"))
+        later = _subtrees(levels[1:], blocks, width).toDF("path", "more_leaves", "more_saved")
+        rows = (rows.join(later, "path", "left").withColumn("leaves", F.col("leaves") + F.coalesce("more_leaves", F.lit(0)))
+                .withColumn("saved", F.col("saved") + F.coalesce("more_saved", F.lit(0))))
+    return stored(_prefixes(rows, width, F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved")).select("path", "leaves", "saved"), "trie-sums")
 
 
 def _ends_of(ends: DataFrame) -> DataFrame:
@@ -174,74 +220,40 @@ def _with_parents(nodes: DataFrame) -> DataFrame:
 def trie(conversations: DataFrame, width: int = WIDTH) -> DataFrame:
     """One row per node of the regrouped conversations: conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""
     convs, turns = regrouped(positions(turn_ids(conversations)))
-    blocks = stored(_blocks(turns, width), "trie-blocks")
-    count = (blocks.agg(F.max("block")).first()[0] or 0) + 1 if blocks.head(1) else 0
     names = _columns(width)
-
-    root_key = _half(F.lit(b"root"))
-    parts, ends = [], []
-    keyed = None
-    for k in range(count):
-        here = blocks.where(F.col("block") == k).drop("block")
-        if keyed is None:
-            keyed = here.withColumn("key", root_key)
-        else:
-            # conversations that filled the block before go on under the node they reached there
-            keyed = here.join(keyed.where(F.col(names[-1]).isNotNull()).select("conv_id", _path(width).alias("key")), "conv_id")
-        keyed = stored(keyed, "trie-block")
-        ends.append(keyed)
-        found = _prefixes(keyed, width, F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs")).where("j > 0")
-        last = F.element_at(F.array(*names), F.col("j"))
-        words = F.conv(F.hex(F.substring(last, DIGEST + 1, 8)), 16, 10).cast("long")
-        up = F.when(F.col("j") == 1, F.col("key")).otherwise(_path(width, parent=True))
-        parts.append(stored(found.select("key", *names, "j", F.lit(k).cast("long").alias("block"), "conv_id", "n_convs", _path(width).alias("path"), up.alias("parent"),
-                                         (F.lit(k * width) + F.col("j")).cast("long").alias("depth"), ((F.col("n_convs") - 1) * words).alias("value")), "trie-nodes"))
-
-    # the root: every conversation is a member, those without turns end there
+    levels = keyed_blocks(turns, width)
+    blocks = levels[0]
+
+    found = _prefixes(blocks, width, F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs"), F.min("block").alias("block"))
+    words = F.conv(F.hex(F.substring(F.element_at(F.array(*names), F.col("j")), DIGEST + 1, 8)), 16, 10).cast("long")
+    found = stored(found.withColumn("depth", F.col("block") * width + F.col("j")).withColumn("value", (F.col("n_convs") - 1) * words), "trie-nodes")
+    # the root: every conversation is a member
+    root = F.lit(ROOT)
     top = convs.agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs")).where("n_convs > 0")
-    slim = ["path", "parent", "conv_id", "depth", "n_convs", "value"]
-    nodes = top.select(root_key.alias("path"), F.lit(None).cast("binary").alias("parent"), "conv_id", F.lit(0).cast("long").alias("depth"), "n_convs", F.lit(0).cast("long").alias("value"))
-    for part in parts:
-        nodes = nodes.unionAll(part.select(*slim))
+    nodes = (top.select(root.alias("path"), F.lit(None).cast("binary").alias("parent"), "conv_id", F.lit(0).cast("long").alias("depth"), "n_convs", F.lit(0).cast("long").alias("value"))
+             .unionAll(found.select("path", "parent", "conv_id", "depth", "n_convs", "value")))
     nodes = stored(_with_parents(nodes), "trie-family")
 
-    finished = convs.join(blocks.select("conv_id").distinct(), "conv_id", "left_anti").select(root_key.alias("path"), "conv_id")
-    for k, keyed in enumerate(ends):
-        over = keyed.select("conv_id", _path(width).alias("path"))
-        if k + 1 < count:
-            over = over.join(ends[k + 1].select("conv_id"), "conv_id", "left_anti")
-        finished = finished.unionAll(over.select("path", "conv_id"))
-    digests = _ends_of(finished)
-
-    # subtrees, from the last block up: a block's whole sum under a key belongs to the node that is the key
-    totals, carry = None, None
-    for part in reversed(parts):
-        own = part.select("path", "key", *names, "value").join(nodes.select("path", "n_children"), "path")
-        own = own.select("path", "key", *names, (F.col("n_children") == 0).cast("long").alias("leaves"), F.col("value").alias("saved"))
-        if carry is not None:
-            own = own.join(carry, "path", "left").select("key", *names, (F.col("leaves") + F.coalesce("more_leaves", F.lit(0))).alias("leaves"),
-                                                         (F.col("saved") + F.coalesce("more_saved", F.lit(0))).alias("saved"))
-        sums = stored(_prefixes(own, width, F.sum("leaves").alias("n_leaves"), F.sum("saved").alias("saved_tokens"))
-                      .select(F.when(F.col("j") == 0, F.col("key")).otherwise(_path(width)).alias("path"), "j", "n_leaves", "saved_tokens"), "trie-sums")
-        carry = sums.where("j = 0").select("path", F.col("n_leaves").alias("more_leaves"), F.col("saved_tokens").alias("more_saved"))
-        inner = sums.where("j > 0").drop("j")
-        totals = inner if totals is None else totals.unionAll(inner)
-    if totals is not None:
-        totals = totals.unionAll(carry.toDF("path", "n_leaves", "saved_tokens"))
-        nodes = nodes.join(totals, "path", "left")
-    else:
-        nodes = nodes.withColumn("n_leaves", F.lit(None).cast("long")).withColumn("saved_tokens", F.lit(None).cast("long"))
+    last = blocks.groupBy("conv_id").agg(F.max("block").alias("block"))
+    ended = blocks.join(last, ["conv_id", "block"]).select("conv_id", _reached(width).alias("path"))
+    digests = _ends_of(convs.join(ended, "conv_id", "left").select(F.coalesce("path", root).alias("path"), "conv_id"))
+
+    values = nodes.select("path", (F.col("n_children") == 0).cast("long").alias("leaves"), F.col("value").alias("saved"))
+    whole = values.agg(F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved")).select(root.alias("path"), "leaves", "saved")
+    above = [stored(_prefixes(level, width), "trie-above") for level in levels[1:]]
+    sums = _subtrees([found, *above], values.where(F.col("path") != root), width).unionAll(whole)
     empty = F.sha2(F.lit(NOTHING), 256)
-    return nodes.join(digests, "path", "left").select(
-        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", F.coalesce("n_leaves", F.lit(1).cast("long")).alias("n_leaves"),
-        F.coalesce("saved_tokens", F.lit(0).cast("long")).alias("saved_tokens"), F.coalesce("ends_sha256", empty).alias("ends_sha256"))
+    return nodes.join(sums, "path").join(digests, "path", "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", F.col("leaves").alias("n_leaves"), F.col("saved").alias("saved_tokens"),
+        F.coalesce("ends_sha256", empty).alias("ends_sha256"))
 
 
 _TEXT = "coalesce(role, '') AS role, coalesce(text, '') AS text"
 _STEPS = ", ".join(["-1"] * 8)
 ORACLE = rf"""
 WITH x AS (SELECT conv_id, turn, {_TEXT} FROM conversations WHERE conv_id IS NOT NULL),
-y AS (SELECT conv_id, turn, sha256(len(role) || ':' || role || ':' || text) AS id, len(regexp_extract_all(text, '[^ 	-]+')) AS words FROM x),
+y AS (SELECT conv_id, turn, sha256(len(role) || ':' || role || ':' || text) AS id, len(regexp_extract_all(text, '[^ 	-
+]+')) AS words FROM x),
 t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, id) AS at FROM y),
 h AS (SELECT conv_id, xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: [CAST(ascii(ch) AS BIGINT), {_STEPS}])),
              lambda a, s: CASE WHEN s >= 0 THEN xor(a, s) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295) % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)),
