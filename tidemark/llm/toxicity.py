@@ -26,6 +26,8 @@ scored each. Columns besides those named are ignored.
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -50,6 +52,7 @@ RATE = 0.1
 MIN_DOCS = 5
 DECAY = 1e-5
 PIECE = 1 << 20
+SLICE = 1 << 14
 SEPARATORS = b" \t\n\v\f\r\0.,;:!?\"()[]{}<>|/\\"
 
 
@@ -119,25 +122,22 @@ class Bags:
     """Windows as lists of distinct words, and the words as lists of buckets."""
 
     def __init__(self, windows: list[bytes]):
-        x = folded(b"\0".join(windows))
-        buckets, word, starts = subwords(x)
-        ends = np.cumsum([len(w) + 1 for w in windows])
-        self.window = np.searchsorted(ends, starts - 1, side="right")
-        # one entry a distinct word, told by its bytes
-        text = x.tobytes()
-        stops = np.flatnonzero((x[1:] == 0) & (x[:-1] != 0)) + 1
         seen: dict[bytes, int] = {}
-        self.word = np.array([seen.setdefault(text[a:b], len(seen)) for a, b in zip(starts, stops)], dtype="int64")
-        first = np.full(len(seen), -1)
-        first[self.word[::-1]] = np.arange(len(self.word))[::-1]
-        is_first = np.zeros(len(starts), dtype=bool)
-        is_first[first] = True
-        keep = is_first[word] if len(word) else np.zeros(0, dtype=bool)
-        owner = self.word[word[keep]] if len(word) else np.zeros(0, dtype="int64")
-        order = np.argsort(owner, kind="stable")
-        self.bucket = buckets[keep][order]
-        self.bounds = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(seen)))])
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(self.window, minlength=len(windows)))])
+        words, sizes = array("i"), array("i")
+        for window in windows:
+            own = [w for w in window.translate(_FOLD.tobytes()).split(b"\0") if w]
+            words.extend([seen.setdefault(w, len(seen)) for w in own])
+            sizes.append(len(own))
+        self.word = np.frombuffer(words, "i4") if words else np.zeros(0, "i4")
+        self.first = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, "i4"))])
+        self.window = np.repeat(np.arange(len(windows), dtype="i4"), np.diff(self.first))
+        distinct, buckets, counts = list(seen), [np.zeros(0, "i4")], [np.zeros(1, "i8")]
+        for start in range(0, len(distinct), SLICE):  # a slice's arrays at a time
+            some = distinct[start:start + SLICE]
+            bucket, word, _ = subwords(folded(b"\0".join(some)))
+            buckets.append(bucket[np.argsort(word, kind="stable")].astype("i4"))
+            counts.append(np.bincount(word, minlength=len(some)))
+        self.bucket, self.bounds = np.concatenate(buckets), np.cumsum(np.concatenate(counts))
 
     def frequent(self, windows: np.ndarray) -> np.ndarray:
         """Whether MIN_DOCS documents at least hold a bucket; ``windows``: where each document's windows start, and the end."""
@@ -312,6 +312,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
         taken[r["toxic"]] += 1
         if taken[r["toxic"]] <= most[r["toxic"]]:
             sample.append((r["toxic"], [bytes(w) for w in r["windows"]]))
+    del rows
     return train(sample)
 
 
