@@ -1,5 +1,6 @@
 """Keyed-table mutations (FIXTURES F5) and the versioned store."""
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,32 +123,51 @@ def test_stream_sink_keeps_the_newer_row_from_a_late_batch(spark):
     assert {(r[1], r[5]) for r in read_live_table(spark, root).collect()} == {("2024-01-01", 5.0), ("2024-01-02", 3.0)}
 
 
-def test_stream_sink_survives_a_half_done_publish(spark, monkeypatch):
+def _live(spark, root):
+    from tidemark.streaming.sinks import read_live_table
+    return sorted(map(tuple, read_live_table(spark, root).collect()))
+
+
+@pytest.mark.parametrize("dies_in", ["rows", "commit"])
+def test_readers_see_the_table_before_or_after_a_publish(spark, monkeypatch, dies_in):
     from tidemark.streaming import sinks
     root = scratch_path(spark, "test-crash")
-    sinks.merge_partitions(_changes(spark, [_row("A", "2024-01-01", 1.0) + (1,), _row("B", "2024-01-01", 1.0) + (2,)]), root)
-    batch, staged = _changes(spark, [_row("A", "2024-01-02", 2.0) + (3,)]), root + "-staged/s/batch=1"
-    sinks.merge_partitions(batch, root, staged=staged)
-    want = sorted(map(tuple, sinks.read_live_table(spark, root).collect()))
-    # the live partition is left empty, as after a crash between its deletion and the rename
-    spark.createDataFrame([], sinks._live_schema()).write.mode("overwrite").parquet(root + "/symbol=A/part=2024-01")
-    assert sinks.read_live_table(spark, root).count() == 1
-    monkeypatch.setattr(sinks, "_merged", lambda *a: 1 / 0)  # the replay must not read the damaged table
-    sinks.merge_partitions(batch, root, staged=staged)
-    assert sorted(map(tuple, sinks.read_live_table(spark, root).collect())) == want
-
-
-def test_stream_sink_stages_by_query_and_batch(spark):
+    sinks.merge_partitions(_changes(spark, [_row("A", "2024-01-01", 1.0) + (1,), _row("B", "2024-01-01", 1.0) + (2,)]), root, batch="s-0")
+    before = _live(spark, root)
+    batch = _changes(spark, [_row("A", "2024-01-02", 2.0) + (3,), _row("A", "2024-01-01", 7.0) + (4,)])
+    if dies_in == "rows":  # some of the batch's files, no marker, no commit
+        spark.read.parquet(f"{root}/rows/c=0").where("symbol = 'A'").write.partitionBy("symbol", "part").parquet(f"{root}/rows/c=1")
+    else:  # all its files, but its commit is not complete
+        sinks.merge_partitions(batch, root, batch="s-1")
+        from tidemark.sources.fs import delete
+        delete(spark, f"{root}/commits/c={1:010d}.s-1/_SUCCESS")
+    assert _live(spark, root) == before
+    sinks.merge_partitions(batch, root, batch="s-1")  # the batch is run again
+    after = _live(spark, root)
+    assert {(r[0], r[1]): r[5] for r in after} == {("A", "2024-01-01"): 7.0, ("A", "2024-01-02"): 2.0, ("B", "2024-01-01"): 1.0}
+    monkeypatch.setattr(sinks, "_merged", lambda *a: 1 / 0)
+    sinks.merge_partitions(batch, root, batch="s-1")  # published: nothing is done
+    assert _live(spark, root) == after
+
+
+def test_stream_sink_names_its_batches_and_removes_old_folders(spark):
     from tidemark.sources.fs import child_dirs
     from tidemark.streaming import sinks
-    root, src = scratch_path(spark, "test-stages"), scratch_path(spark, "test-stage-source")
-    _changes(spark, [_row("A", "2024-01-01", 1.0) + (1,)]).write.parquet(src)
-    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
-    query = (stream.writeStream.foreachBatch(sinks.upsert_sink(root)).option("checkpointLocation", scratch_path(spark, "test-stage-ckpt"))
+    root, src = scratch_path(spark, "test-commits"), scratch_path(spark, "test-commit-source")
+    for i in range(6):
+        _changes(spark, [_row("A", "2024-01-01", float(i)) + (i,), _row("B", f"2024-0{i + 1}-01", 1.0) + (i,)]).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 1).parquet(src)
+    query = (stream.writeStream.foreachBatch(sinks.upsert_sink(root)).option("checkpointLocation", scratch_path(spark, "test-commit-ckpt"))
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    assert sinks.read_live_table(spark, root).count() == 1
-    assert child_dirs(spark, f"{root}-staged/{query.id}", "batch=") == ["batch=0"]
+    assert [name for _, name in sinks.commits(spark, root)][-1] == f"{query.id}-5"
+    got = {(r[0], r[1]): r[5] for r in _live(spark, root)}
+    assert got == {("A", "2024-01-01"): 5.0, **{("B", f"2024-0{i + 1}-01"): 1.0 for i in range(6)}}
+    sinks.clean(spark, root)
+    assert {(r[0], r[1]): r[5] for r in _live(spark, root)} == got
+    assert [n for n, _ in sinks.commits(spark, root)] == [4, 5]
+    # A's partition was written six times; those of the last two commits are left
+    assert sum("symbol=A" in d for c in child_dirs(spark, f"{root}/rows", "c=") for d in child_dirs(spark, f"{root}/rows/{c}", "symbol=")) == 2
 
 
 def test_puts_and_updates_are_one_join(spark):

@@ -93,16 +93,87 @@ def test_fold_ships_by_value(tmp_path):
 
     from pyspark import cloudpickle
 
-    from tidemark.streaming.enrich_state import fold_symbol
+    from tidemark.streaming.enrich_state import TrailingFold
     blob = tmp_path / "fold.pkl"
-    blob.write_bytes(cloudpickle.dumps(fold_symbol))
+    blob.write_bytes(cloudpickle.dumps(TrailingFold))
     code = ("import pickle, sys\n"
             "f = pickle.load(open(sys.argv[1], 'rb'))\n"
             "try:\n    import tidemark\n    print('importable')\nexcept ImportError:\n    print(f.__name__)\n")
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     r = subprocess.run([sys.executable, "-c", code, str(blob)], cwd="/", capture_output=True, text=True, env=env)
     assert r.returncode == 0, r.stderr[-2000:]
-    assert r.stdout.strip().splitlines()[-1] == "fold_symbol"
+    assert r.stdout.strip().splitlines()[-1] == "TrailingFold"
+
+
+class _Handle:
+    """List and map states in memory."""
+
+    def __init__(self):
+        self.list, self.map, self.most = [], {}, 0
+
+    def getListState(self, name, schema):
+        h = self
+        return type("L", (), {"exists": lambda s: bool(h.list), "get": lambda s: iter(h.list), "put": lambda s, rows: setattr(h, "list", list(rows))})()
+
+    def getMapState(self, name, key, value):
+        h = self
+
+        def put(s, k, v):
+            h.map[k] = v
+            h.most = max(h.most, len(h.map))
+        return type("M", (), {"updateValue": put, "getValue": lambda s, k: h.map[k], "removeKey": lambda s, k: h.map.pop(k)})()
+
+
+def _ticks(n, seed=3):
+    import pandas as pd
+    rng = np.random.Generator(np.random.PCG64(seed))
+    p = rng.normal(100, 5, n).round(2)
+    return pd.DataFrame({"symbol": "A", "date": [f"d{i:06d}" for i in range(n)], "open": p, "high": p, "low": p, "close": p,
+                         "volume": rng.integers(1, 99, n), "seq": np.arange(n)})
+
+
+def test_hot_symbol_is_folded_in_bounded_pieces(monkeypatch):
+    import pandas as pd
+    from tidemark.streaming import enrich_state as ST
+    monkeypatch.setattr(ST, "SPAN", 100)
+    sizes, fold = [], ST.fold_rows
+    monkeypatch.setattr(ST, "fold_rows", lambda rows, tail: sizes.append(len(rows)) or fold(rows, tail))
+    rows = _ticks(5000)
+    shuffled = rows.sample(frac=1, random_state=1)
+    chunks = [shuffled.iloc[i:i + 250] for i in range(0, 5000, 250)]
+    handle, folder = _Handle(), ST.TrailingFold()
+    folder.init(handle)
+    out = pd.concat(list(folder.handleInputRows(("A",), iter(chunks), None)))
+    assert max(sizes) <= 100 and handle.map == {} and handle.most > 0
+    want, tail = fold(rows, [])
+    assert out.reset_index(drop=True).equals(want.reset_index(drop=True))
+    assert handle.list == tail and len(tail) == ST.WINDOW_ROWS
+    # the next batch goes on from the tail, whichever way it comes
+    more = _ticks(30, 5).assign(seq=lambda d: d["seq"] + 5000)
+    assert list(folder.handleInputRows(("A",), iter([more]), None))[0].equals(fold(more, tail)[0])
+
+
+def test_hot_symbol_in_one_micro_batch_equals_batch(spark, monkeypatch):
+    from tidemark.streaming import enrich_state as ST
+    monkeypatch.setattr(ST, "SPAN", 24 * 3600)  # a day of the message times below
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    try:
+        msgs = _messages(spark)
+        src, out, ckpt = (scratch_path(spark, n) for n in ("h-src", "h-out", "h-ckpt"))
+        msgs.select("seq", "value").repartition(7).write.parquet(src)
+        _run(spark, src, out, ckpt, 50)
+        got = sorted(map(tuple, spark.read.parquet(out).drop("seq", "late").collect()))
+        assert got == sorted(map(tuple, enrich_bars(bars(spark, SF_SMOKE)).collect()))
+        state = ST.stored_state(spark, ckpt)
+        last = {}
+        for r in enrich_bars(bars(spark, SF_SMOKE)).orderBy("symbol", "date").collect():
+            last.setdefault(r["symbol"], []).append((r["close"], r["volume"]))
+        kept = {}
+        for r in state.orderBy("symbol", "place").collect():
+            kept.setdefault(r["symbol"], []).append((r["close"], r["volume"]))
+        assert kept == {s: rows[-ST.WINDOW_ROWS:] for s, rows in last.items()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_rows_behind_the_state_are_flagged_and_kept(spark):
@@ -119,15 +190,3 @@ def test_rows_behind_the_state_are_flagged_and_kept(spark):
     seen = [r[0] for r in rows.filter(F.substring("date", 1, 10) > days[1]).select("symbol").distinct().collect()]
     late = rows.filter("late")
     assert late.count() == rows.filter(F.col("symbol").isin(seen) & (F.substring("date", 1, 10) <= days[1])).count() > 0
-
-
-def test_messages_land_in_one_job_and_in_order(spark):
-    from tidemark.streaming.source import land_messages
-    path = scratch_path(spark, "t-landed")
-    msgs = spark.range(200).select(F.col("id").alias("seq"), F.col("id").cast("string").alias("value"),
-                                   F.format_string("%03d", F.col("id")).alias("at"))
-    n = land_messages(msgs.repartition(7), path, ["at"], 6)
-    files = (spark.read.parquet(path).groupBy(F.col("_metadata.file_modification_time").alias("t"))
-             .agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"), F.count("*").alias("n")).orderBy("t").collect())
-    assert len(files) == n > 1 and sum(f["n"] for f in files) == 200
-    assert all(a["hi"] < b["lo"] for a, b in zip(files, files[1:]))

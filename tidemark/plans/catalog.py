@@ -22,6 +22,7 @@ from tidemark.schemas import BAR_COLUMNS, BENCH_PREFIX, ENRICHED_COLUMNS, RAW_BA
 from tidemark.session import scratch_path
 from tidemark.sources import bar_files as BF
 from tidemark.sources import keyed_store as KS
+from tidemark.sources import message_log as ML
 from tidemark.sources import messages as MSG
 from tidemark.sources import snapshots as SNAP
 from tidemark.sources.fs import child_dirs
@@ -30,7 +31,6 @@ from tidemark.sources.tables import read_table
 from tidemark.streaming import bucketed as SB
 from tidemark.streaming import enrich_state as ST
 from tidemark.streaming import sinks as SK
-from tidemark.streaming import source as SRC
 
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -472,60 +472,84 @@ def q_date_parse(spark, sf_dir):
 
 # --- streaming --------------------------------------------------------------------
 
-FILES_PER_TRIGGER = 8
+ROWS_PER_BATCH = 4096
+RESTART_AT = "2024-01-16"  # messages before it are there when the stream first runs
+
+
+def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published messages in arrival order (``at``): the ticker rows, then the bars by date."""
+    raw = BF.with_ticker_rows(BF.raw_bar_rows(bars(spark, sf_dir)))
+    return raw.select(F.to_json(F.struct(*RAW_BAR_COLUMNS), {"ignoreNullFields": "false"}).alias("value"), F.coalesce("Date", F.lit("")).alias("at"))
 
 
 def message_log_path(spark: SparkSession, sf_dir: str) -> str:
-    """Published messages landed in arrival order: per symbol, the ticker row,
-    then the bars by date; ``seq`` numbers the arrivals of each symbol."""
-    def land(path):
-        raw = BF.with_ticker_rows(BF.raw_bar_rows(bars(spark, sf_dir)))
-        seqd = A.positions(raw, ["_ord", "Date"], within=[BF.FILE_SYMBOL],
-                           bucket=F.coalesce(F.substring("Date", 1, 7), F.lit("")), name="seq")
-        msgs = seqd.select("seq", F.to_json(F.struct(*RAW_BAR_COLUMNS), {"ignoreNullFields": "false"}).alias("value"),
-                           F.coalesce("Date", F.lit("")).alias("_at"))
-        SRC.land_messages(msgs, path, ["_at"], 2 * spark.sparkContext.defaultParallelism)
-    return _cached_path(spark, sf_dir, "messages", land)
+    return _cached_path(spark, sf_dir, "messages", lambda p: ML.append(_arrivals(spark, sf_dir), p, ["at"]))
 
 
-def _classified_stream(spark, sf_dir):
-    return VAL.classify(SRC.file_message_stream(spark, message_log_path(spark, sf_dir), FILES_PER_TRIGGER))
+def _classified(spark: SparkSession, log: str, checkpoint: str) -> DataFrame:
+    return VAL.classify(ML.stream(spark, log, ROWS_PER_BATCH, checkpoint))
 
 
-def _run_to_files(stream: DataFrame, spark: SparkSession, name: str) -> str:
-    out, ckpt = scratch_path(spark, name), scratch_path(spark, name + "-ckpt")
-    q = (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
+def _valid_stream(spark: SparkSession, log: str, checkpoint: str) -> DataFrame:
+    return VAL.valid_part(_classified(spark, log, checkpoint), ["seq"])
+
+
+def _to_files(stream: DataFrame, out: str, checkpoint: str) -> str:
+    ML.drain(stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append"))
     return out
 
 
+def _run_to_files(spark: SparkSession, sf_dir: str, name: str, make) -> str:
+    """Run ``make(log, checkpoint)`` over the whole log into files of its own."""
+    out, ckpt = scratch_path(spark, name), scratch_path(spark, name + "-ckpt")
+    return _to_files(make(spark, message_log_path(spark, sf_dir), ckpt), out, ckpt)
+
+
 @query("stream_decode")
 def q_stream_decode(spark, sf_dir):
-    out = _run_to_files(VAL.valid_part(_classified_stream(spark, sf_dir), ["seq"]), spark, "stream-decode")
+    out = _run_to_files(spark, sf_dir, "stream-decode", _valid_stream)
     return spark.read.parquet(out).select(*BAR_COLUMNS)
 
 
 @query("stream_rejects")
 def q_stream_rejects(spark, sf_dir):
-    out = _run_to_files(VAL.reject_part(_classified_stream(spark, sf_dir)), spark, "stream-rejects")
+    out = _run_to_files(spark, sf_dir, "stream-rejects", lambda *a: VAL.reject_part(_classified(*a)))
     return spark.read.parquet(out).select("raw", "reason")
 
 
 @query("stream_enrich")
 def q_stream_enrich(spark, sf_dir):
-    valid = VAL.valid_part(_classified_stream(spark, sf_dir), ["seq"])
-    out = _run_to_files(ST.stream_enrich(valid), spark, "stream-enrich")
+    out = _run_to_files(spark, sf_dir, "stream-enrich", lambda *a: ST.stream_enrich(_valid_stream(*a)))
     return spark.read.parquet(out).select(*ENRICHED_COLUMNS)
 
 
+def _restarted(spark: SparkSession, sf_dir: str) -> str:
+    """Enrichment stopped after the first part of the messages and started again when the rest had come; its folder."""
+    def run(path):
+        log, out, ckpt = f"{path}/log", f"{path}/out", f"{path}/ckpt"
+        early = F.col("at") < RESTART_AT
+        for part in (early, ~early):
+            ML.append(_arrivals(spark, sf_dir).where(part), log, ["at"])
+            _to_files(ST.stream_enrich(_valid_stream(spark, log, ckpt)), out, ckpt)
+    return _cached_path(spark, sf_dir, "restart", run)
+
+
+@query("stream_restart")
+def q_stream_restart(spark, sf_dir):
+    return spark.read.parquet(f"{_restarted(spark, sf_dir)}/out").select(*ENRICHED_COLUMNS)
+
+
+@query("stream_state")
+def q_stream_state(spark, sf_dir):
+    # What the stopped stream would go on from, read from its state store: the last 7 bars of a symbol.
+    return ST.stored_state(spark, f"{_restarted(spark, sf_dir)}/ckpt").select("symbol", F.col("place").cast("long").alias("place"), "close", "volume")
+
+
 @query("stream_upsert")
 def q_stream_upsert(spark, sf_dir):
-    valid = VAL.valid_part(_classified_stream(spark, sf_dir), ["seq"])
     root, ckpt = scratch_path(spark, "live-table"), scratch_path(spark, "live-table-ckpt")
-    q = (ST.stream_enrich(valid).writeStream.foreachBatch(SK.upsert_sink(root))
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
+    valid = _valid_stream(spark, message_log_path(spark, sf_dir), ckpt)
+    ML.drain(ST.stream_enrich(valid).writeStream.foreachBatch(SK.upsert_sink(root)).option("checkpointLocation", ckpt))
     return SK.read_live_table(spark, root)
 
 
@@ -562,11 +586,9 @@ def q_batch_throughput(spark, sf_dir):
 def q_stream_enrich_bucketed(spark, sf_dir):
     # Same rows as stream_enrich; each micro-batch runs the skew-safe window
     # plan over (saved tails + batch) instead of a per-symbol state fold.
-    valid = VAL.valid_part(_classified_stream(spark, sf_dir), ["seq"])
     state, out, ckpt = (scratch_path(spark, n) for n in ("enrich-state", "enrich-out", "enrich-ckpt"))
-    q = (valid.writeStream.foreachBatch(SB.bucketed_sink(state, out))
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
+    valid = _valid_stream(spark, message_log_path(spark, sf_dir), ckpt)
+    ML.drain(valid.writeStream.foreachBatch(SB.bucketed_sink(state, out)).option("checkpointLocation", ckpt))
     return SB.read_output(spark, out)
 
 

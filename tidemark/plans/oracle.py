@@ -243,6 +243,10 @@ ORACLE["stream_decode"] = ORACLE["json_decode"]
 ORACLE["stream_rejects"] = ORACLE["validate_split"]
 ORACLE["stream_enrich"] = E
 ORACLE["stream_upsert"] = E
+ORACLE["stream_restart"] = E
+ORACLE["stream_state"] = f"""SELECT symbol, CAST(least(7, n) - r AS BIGINT) AS place, close, volume
+FROM (SELECT symbol, close, volume, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS r, count(*) OVER (PARTITION BY symbol) AS n FROM ({valid_sql(B)}))
+WHERE r <= 7"""
 
 
 # --- rollups ----------------------------------------------------------------------

@@ -32,19 +32,6 @@ def child_dirs(spark: SparkSession, root: str, prefix: str) -> list[str]:
             if st.isDirectory() and st.getPath().getName().startswith(prefix)]
 
 
-def stamp_in_order(spark: SparkSession, path: str, prefix: str = "part-") -> int:
-    """Give the files of ``path`` modification times one second apart, in name
-    order (metadata only); returns their number. Stores that keep no settable
-    times need an order column in the stream instead."""
-    fs, p, jvm = _fs(spark, path)
-    files = sorted((st.getPath() for st in fs.listStatus(p) if st.getPath().getName().startswith(prefix)),
-                   key=lambda f: f.getName())
-    first = jvm.java.lang.System.currentTimeMillis() - 1000 * len(files)
-    for i, f in enumerate(files):
-        fs.setTimes(f, first + 1000 * i, -1)
-    return len(files)
-
-
 def committed_dirs(spark: SparkSession, root: str, prefix: str) -> list[str]:
     """Sub-directories of ``root`` starting with ``prefix`` that hold a
     completed Spark write (the ``_SUCCESS`` marker of the job commit)."""

@@ -1,7 +1,8 @@
 """Message streams: ``(seq BIGINT, value STRING)`` rows in arrival order.
 
-Offline the stream is a directory of Parquet files (the file source replays
-them oldest first; ``maxFilesPerTrigger`` bounds each micro-batch). With a
+Offline the stream is a message log (``sources.message_log``), whose offsets are message
+numbers, or a directory of Parquet files (the file source replays them oldest
+first by their file times; ``maxFilesPerTrigger`` bounds each micro-batch). With a
 Kafka connector on the classpath the same shape comes from
 ``kafka_message_stream``: ``value`` cast to text and the partition offset as
 ``seq``, which orders a symbol's messages only if the topic is keyed by symbol
@@ -14,8 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.fs import stamp_in_order
-
 MESSAGE_SCHEMA = "seq bigint, value string"
 
 
@@ -36,13 +35,3 @@ def kafka_message_stream(spark: SparkSession, servers: str, topic: str,
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     return r.load().select(F.col("offset").alias("seq"), F.col("value").cast("string").alias("value"))
-
-
-def land_messages(messages: DataFrame, path: str, order: list[str], files: int) -> int:
-    """Land messages in one job: ``files`` ranges of ``order``, a file each,
-    stamped so that the file source, which takes the oldest files first,
-    replays them in that order. Rows of equal ``order`` share a file. Returns the
-    number of files; this is the offline stand-in for a producer."""
-    (messages.repartitionByRange(files, *order).sortWithinPartitions(*order)
-     .select("seq", "value").write.parquet(path))
-    return stamp_in_order(messages.sparkSession, path)
