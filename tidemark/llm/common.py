@@ -43,7 +43,7 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def worker_cache(name: str, make: Callable):
-    """One object per Python worker process, kept across tasks.
+    """One object per Python worker process, kept across tasks until another is asked for or ``release`` is called.
 
     The modules here are pickled by value, so a plain module global would be
     rebuilt for every task; a registered module survives.
@@ -53,10 +53,18 @@ def worker_cache(name: str, make: Callable):
         holder = sys.modules["_corpus_worker_cache"] = types.ModuleType("_corpus_worker_cache")
         holder.items = {}
     if name not in holder.items:
+        holder.items.clear()  # a reused worker holds one operator's tables at a time
         holder.items[name] = make()
     return holder.items[name]
 
 
+def release() -> None:
+    """Free what an operator before left in this worker."""
+    holder = sys.modules.get("_corpus_worker_cache")
+    if holder is not None:
+        holder.items.clear()
+
+
 def map_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], Iterator[pa.RecordBatch]],
                schema: str, order: list[str] = ()) -> DataFrame:
     """Run ``fn`` over whole groups of ``keys``, many small groups at a time.
@@ -66,6 +74,7 @@ def map_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], Iterator
     group (blocks), so memory is one Arrow batch plus one group.
     """
     def stream(batches):
+        release()
         held: list[pa.RecordBatch] = []
         last = None
         for batch in batches:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_slices
+from tidemark.llm.common import release, text_slices
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -170,6 +170,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 def _predict(model):
     def run(batches):
+        release()
         net = Net.restored(model.value) if model.value else None
         tables = net.tables() if net else None
         for batch in batches:

@@ -3,8 +3,8 @@
 Both public vocabularies split a text before their merges, and a single blank
 or line break between two non-blank characters always ends such a part. Texts
 are cut there, each distinct piece is encoded once by the library and kept in a
-bounded table per worker, and a text is the concatenation of its pieces. A
-piece that ends in full stops or commas after a letter is split once more.
+table per worker, bounded by bytes, as a piece can be of any length; a text is the
+concatenation of its pieces. A piece that ends in full stops or commas after a letter is split once more.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ import unicodedata
 
 import numpy as np
 
-KEPT_PIECES = 600_000  # about 120 MB a worker
+KEPT_BYTES = 96 << 20  # a worker's table: texts, ids and ENTRY bytes a piece
+ENTRY = 180
 JOINED = 2048
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
@@ -58,6 +59,7 @@ class PieceIds:
         self.begins[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True  # a blank in byte-level text
         self.kept: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
+        self.size = 0
 
     def _each(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -79,14 +81,18 @@ class PieceIds:
     def _learn(self, missing: set[str]) -> None:
         words = {p for p in missing if p.split() == [p]}
         others = list(missing - words)
-        self.kept.update(zip(others, self._each(others)))
+        self._keep(others, self._each(others))
         stems = {p: _stem(p) for p in words}
-        new = list(set(stems.values()) - self.kept.keys())
-        self.kept.update(zip(new, self._after_blank(new)))
+        new = list(set(stems.values()).difference(self.kept))
+        self._keep(new, self._after_blank(new))
         ended = [(p, s, p[len(s):]) for p, s in stems.items() if len(s) < len(p)]
         tails = list({tail for _, _, tail in ended})
         tail_ids = dict(zip(tails, self._each(tails)))
-        self.kept.update((p, self.kept[s] + tail_ids[tail]) for p, s, tail in ended)
+        self._keep([p for p, _, _ in ended], [self.kept[s] + tail_ids[tail] for _, s, tail in ended])
+
+    def _keep(self, pieces: list[str], ids: list[bytes], table: dict | None = None) -> None:
+        (self.kept if table is None else table).update(zip(pieces, ids))
+        self.size += sum(map(len, pieces)) + sum(map(len, ids)) + ENTRY * len(pieces)
 
     @staticmethod
     def _pieces(text: str) -> list[str]:
@@ -99,8 +105,8 @@ class PieceIds:
         return pieces[:1] + [p[1:] if p[0] == " " and p[1:].split() == [p[1:]] else p for p in pieces[1:]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.kept) > KEPT_PIECES or len(self.first) > KEPT_PIECES:
-            self.kept, self.first = {}, {}
+        if self.size > KEPT_BYTES:
+            self.kept, self.first, self.size = {}, {}, 0
         plans, missing, starts = [], set(), {}
         for text in texts:
             pieces = self._pieces(text)
@@ -113,7 +119,7 @@ class PieceIds:
             missing.update(p for i, p in holes.items() if i)
             plans.append((found, holes))
         self._learn(missing)
-        self.first.update(zip(starts, self._each(list(starts))))
+        self._keep(list(starts), self._each(list(starts)), self.first)
         for found, holes in plans:
             for i, p in holes.items():
                 found[i] = self.kept[p] if i else self.first[p]
@@ -129,6 +135,7 @@ class PieceCounts:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.kept: dict[str, int] = {"": 0}
+        self.size = 0
 
     def _each(self, texts: list[str]) -> list[int]:
         return [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -144,15 +151,19 @@ class PieceCounts:
         return out
 
     def learn(self, pieces: set[str]) -> None:
-        if len(self.kept) > KEPT_PIECES:
-            self.kept = {"": 0}
-        missing = pieces - self.kept.keys()
-        stems = {p: _stem(p) for p in missing}
+        if self.size > KEPT_BYTES:
+            self.kept, self.size = {"": 0}, 0
+        stems = {p: _stem(p) for p in pieces.difference(self.kept)}
         new = [s for s in dict.fromkeys(stems.values()) if s not in self.kept]
         words = [s for s in new if s.isalpha()]
         others = [s for s in new if not s.isalpha()]
-        self.kept.update(zip(words, self._words(words)))
-        self.kept.update(zip(others, self._each(others)))
-        tails = list({p[len(s):] for p, s in stems.items() if len(s) < len(p)})
+        self._keep(dict(zip(words, self._words(words))))
+        self._keep(dict(zip(others, self._each(others))))
+        ended = {p: s for p, s in stems.items() if len(s) < len(p)}
+        tails = list({p[len(s):] for p, s in ended.items()})
         tail = dict(zip(tails, self._each(tails)))
-        self.kept.update((p, self.kept[s] + tail[p[len(s):]]) for p, s in stems.items() if len(s) < len(p))
+        self._keep({p: self.kept[s] + tail[p[len(s):]] for p, s in ended.items()})
+
+    def _keep(self, counts: dict[str, int]) -> None:
+        self.kept.update(counts)
+        self.size += sum(map(len, counts)) + ENTRY * len(counts)

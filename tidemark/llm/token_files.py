@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, text_slices, worker_cache
+from tidemark.llm.common import release, stored, text_slices, worker_cache
 from tidemark.llm.pieces import PieceIds
 
 MAGIC = b"TOKENS01"
@@ -86,6 +86,7 @@ def open_mapped(path: str, dtype: str = "<u2") -> tuple[np.ndarray, np.ndarray,
 
 def _reader(dtype: str):
     def run(batches):
+        release()
         for batch in batches:
             for i in range(batch.num_rows):
                 part = int(re.search(r"part-(\d+)", batch.column(0)[i].as_py().rsplit("/", 1)[-1])[1])

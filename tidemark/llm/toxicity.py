@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_slices
+from tidemark.llm.common import release, text_slices
 from tidemark.llm.words import mix
 
 BUCKETS = 1 << 18
@@ -318,6 +318,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
 
 def _score(state):
     def run(batches):
+        release()
         for batch in batches:
             texts = batch.column(1)
             for start, end in text_slices(texts, PIECE):
