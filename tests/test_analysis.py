@@ -21,7 +21,7 @@ def test_anomaly_counts_sum_to_summary(spark):
 
 def test_positions_are_gap_free_in_order(spark):
     e = enriched(spark, SF_SMALL).select("symbol", "date", "close")
-    rows = A.sort_symbol_date(e, bucket_chars=10).collect()
+    rows = A.sort_symbol_date(e).collect()
     assert [r.pos for r in rows] == list(range(1, len(rows) + 1))
     assert [(r.symbol, r.date) for r in rows] == sorted((r.symbol, r.date) for r in rows)
     per = A.positions(e, ["date"], within=["symbol"], bucket=F.substring("date", 1, 10)).collect()

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import scratch_path
+
 
 def series_close(enriched: DataFrame) -> DataFrame:
     """Price series per symbol."""
@@ -103,20 +105,25 @@ def positions(df: DataFrame, order: list[str], within: list[str] | None = None,
             .drop(*names, *[f"_off{i}" for i in range(len(names))], "_rn"))
 
 
-def sort_symbol_date(df: DataFrame, bucket_chars: int = 7) -> DataFrame:
-    """Rows in (symbol, date) order with their 1-based global position ``pos``.
+def numbered(df: DataFrame, order: list, name: str = "pos", start: int = 0, parts: int | None = None) -> DataFrame:
+    """``df`` with dense numbers from ``start`` in ``order`` over all rows; equal rows are in no given order.
 
-    Two levels, so no single task sees more than one row per symbol: the
-    position inside the symbol (bucketed, see ``positions``) plus the symbol's
-    offset, a running sum over the per-symbol row counts. The final
-    ``orderBy`` is a range-partitioned distributed sort.
+    A range-partitioned sort, written once under the checkpoint folder; a row's number is its place in
+    its part plus the rows of the parts before (a table of one row a part), so no task sees more than a part.
     """
-    rows = df.select("symbol", "date", "close")
-    inside = positions(rows, ["date"], within=["symbol"], bucket=F.substring("date", 1, bucket_chars),
-                       name="_in")
-    offsets = (rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("_cnt"))
-               .select("symbol", F.coalesce(F.sum("_cnt").over(
-                   Window.orderBy("symbol").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off")))
-    return (null_safe_join(inside, offsets, ["symbol"])
-            .select((F.col("_off") + F.col("_in")).cast("long").alias("pos"), "symbol", "date", "close")
-            .orderBy("symbol", "date"))
+    spark = df.sparkSession
+    path = scratch_path(spark, "numbered")
+    row = F.monotonically_increasing_id()
+    dealt = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
+    (dealt.sortWithinPartitions(*order).withColumn("_part", F.shiftright(row, 33)).withColumn("_place", row.bitwiseAND((1 << 33) - 1))
+     .write.parquet(path))
+    laid = spark.read.parquet(path)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = laid.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    return (laid.join(F.broadcast(bases), "_part").withColumn(name, (F.lit(start) + F.col("_base") + F.col("_place")).cast("long"))
+            .drop("_part", "_place", "_base"))
+
+
+def sort_symbol_date(df: DataFrame) -> DataFrame:
+    """Rows in (symbol, date) order with their 1-based global position ``pos``, by a distributed sort."""
+    return numbered(df.select("symbol", "date", "close"), ["symbol", "date"], "pos", 1).select("pos", "symbol", "date", "close").orderBy("symbol", "date")

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,11 +100,10 @@ def profile_wide(df: DataFrame, group: str, date_col: str | None = None) -> Data
 
     # Total row from the group rows. Variance merge (parallel algorithm):
     # M2 = sum((n_g - 1) * sd_g^2) + sum(n_g * (avg_g - avg)^2).
-    # (a window over the group table: one row per group, so one small task)
+    # The means come first, by partial sums, and meet the groups as one row.
     zero = F.lit(0).cast("long")
-    everything = Window.partitionBy()
-    g2 = groups.select("*", *[(F.sum(F.col(f"count__{c}") * F.col(f"_avg__{c}")).over(everything)
-                               / F.nullif(F.sum(f"count__{c}").over(everything), zero)).alias(f"_mu__{c}") for c in nums])
+    mus = groups.agg(F.count(F.lit(1)).alias("_groups"), *[(F.sum(F.col(f"count__{c}") * F.col(f"_avg__{c}")) / F.nullif(F.sum(f"count__{c}"), zero)).alias(f"_mu__{c}") for c in nums])
+    g2 = groups.crossJoin(F.broadcast(mus))
     tot = [F.coalesce(F.sum("row_count"), zero).alias("row_count")]
     tot += [F.coalesce(F.sum(f"nulls__{c}"), zero).cast("long").alias(f"nulls__{c}") for c in cols]
     for c in nums:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalar import bench_date_key, pct_change, round_half_even
 from tidemark.operators import analysis as A
 from tidemark.operators import profile as P
+from tidemark.operators import profile_parts as PP
 from tidemark.operators import rollups as R
 from tidemark.operators import validate as VAL
 from tidemark.operators.indicators import enrich_bars, reject_bars, row_indicators, valid_bars
@@ -261,6 +262,35 @@ def q_profile_lineitem_nulls(spark, sf_dir):
     return P.profile_nulls(wide, LINEITEM_PROFILE_GROUP, li.columns)
 
 
+# The profile kept up by days: all but the last are there, then the last one is added.
+LAST_DAY = "2024-01-28"
+
+
+def profile_parts_path(spark: SparkSession, sf_dir: str) -> str:
+    def build(path):
+        rows = profile_input(spark, sf_dir).withColumn("day", F.substring("Date", 1, 10))
+        PP.write_parts(rows.where(F.col("day") < LAST_DAY), path, "symbol", "day", "Date")
+        PP.write_parts(rows.where(F.col("day") >= LAST_DAY), path, "symbol", "day", "Date")
+    return _cached_path(spark, sf_dir, "profile-parts", build)
+
+
+@query("profile_by_parts")
+def q_profile_by_parts(spark, sf_dir):
+    wide = PP.profile(PP.read_parts(spark, profile_parts_path(spark, sf_dir)), "symbol")
+    return P.rounded(wide)
+
+
+@query("profile_report")
+def q_profile_report(spark, sf_dir):
+    # The report written as a table, a folder a section, and read back.
+    df = profile_input(spark, sf_dir)
+    path = scratch_path(spark, "profile-report")
+    PP.write_report(PP.report(_profile_wide(spark, sf_dir), "symbol", df.dtypes), path)
+    rows = PP.read_report(spark, path)
+    return rows.withColumn("number", F.when(F.isnan("number"), F.col("number")).otherwise(
+        F.bround(F.when(~F.isnan("number"), F.col("number")).cast("decimal(38,12)"), P.STAT_DECIMALS).cast("double")))
+
+
 # --- keyed table ----------------------------------------------------------------
 
 

@@ -284,3 +284,25 @@ ORACLE["profile_csv"] = ORACLE["profile_describe"]
 ORACLE["latency_floored_mean"] = f"""SELECT CAST(floor(avg(avg_ms)) AS BIGINT) AS floor_mean
 FROM (SELECT event_type AS op, {_r(_MEAN, 1)} AS avg_ms FROM events GROUP BY 1)"""
 ORACLE["batch_record_time"] = f"""SELECT event_type AS op, count(*) AS records, {_r(_MEAN, 1)} AS avg_record_ms FROM events GROUP BY 1"""
+
+ORACLE["profile_by_parts"] = ORACLE["profile_combined"]
+
+
+def profile_report_sql() -> str:
+    """The lines of the profile report, section by section."""
+    def line(section, item, stat, number="NULL", text="NULL", grp="symbol", where=""):
+        item = f"'{item}'" if item else "CAST(NULL AS VARCHAR)"
+        return (f"SELECT '{section}' AS section, {grp} AS grp, is_total, {item} AS item, '{stat}' AS stat, "
+                f"CAST({number} AS DOUBLE) AS number, CAST({text} AS VARCHAR) AS text FROM W{where}")
+    rounded = lambda s, c: f"round_even(CAST({_q(s + '__' + c)} AS DECIMAL(38,12)), 6)"
+    out = [line("counts", None, s, s) for s in ("row_count", "total_nulls")]
+    out += [line("nulls", c, "nulls", _q("nulls__" + c)) for c, _ in PROFILE_COLUMNS]
+    out += [line("describe", c, s, rounded(s, c)) for c, k in PROFILE_COLUMNS if k == "dbl" for s in ("count", "mean", "stddev", "min", "max")]
+    out += [line("dates", None, s, text=s) for s in ("date_min", "date_max")]
+    none, total = "CAST(NULL AS VARCHAR)", " WHERE is_total = 1"
+    out += [line("verdict", None, "verdict", text="CASE WHEN row_count > 0 AND total_nulls = 0 THEN 'PASS' ELSE 'FAIL' END", grp=none, where=total)]
+    out += [line("schema", c, "schema", str(i), f"'{_SPARK_TYPE[k]}'", none, total) for i, (c, k) in enumerate(PROFILE_COLUMNS, 1)]
+    return f"WITH W AS ({PW})\n" + "\nUNION ALL ".join(out)
+
+
+ORACLE["profile_report"] = profile_report_sql()

@@ -22,11 +22,11 @@ import sys
 from collections.abc import Iterator
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
-from tidemark.session import scratch_path
+from tidemark.operators.analysis import numbered
 from tidemark.sources.fs import committed_dirs
 
 # Workers, and the driver's source process, need not have this package on their path.
@@ -35,29 +35,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 FORMAT = "message_log"
 
 
-def numbered(messages: DataFrame, order: list[str], start: int, parts: int) -> DataFrame:
-    """``messages`` with ``seq``: dense numbers from ``start`` in ``order``; equal rows are in no given order.
-
-    A range-partitioned sort, written once; a row's number is its place in its part plus the
-    rows of the parts before (one row a part), so no task sees them all.
-    """
-    spark = messages.sparkSession
-    path = scratch_path(spark, "arrivals")
-    row = F.monotonically_increasing_id()
-    (messages.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-     .select("value", F.shiftright(row, 33).alias("part"), row.bitwiseAND((1 << 33) - 1).alias("place")).write.parquet(path))
-    laid = spark.read.parquet(path)
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = laid.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return laid.join(F.broadcast(bases), "part").select((F.lit(start) + F.col("base") + F.col("place")).alias("seq"), "value")  # a row a part
-
-
 def append(messages: DataFrame, root: str, order: list[str], files: int = 8) -> tuple[int, int]:
     """Append ``messages`` (value, and the columns of ``order``); returns the first number and the one after the last."""
     spark = messages.sparkSession
     first = end(spark, root)
     rows, index = f"{root}/rows={first:020d}", f"{root}/index={first:020d}"
-    (numbered(messages, order, first, files).repartitionByRange(files, "seq").sortWithinPartitions("seq")
+    (numbered(messages, order, "seq", first, files).select("seq", "value").repartitionByRange(files, "seq").sortWithinPartitions("seq")
      .write.mode("overwrite").parquet(rows))
     found = (spark.read.parquet(rows).groupBy(F.input_file_name().alias("file"))
              .agg(F.min("seq").alias("first"), F.max("seq").alias("last")))
