@@ -107,6 +107,25 @@ def test_search_ties_and_edge_cases(vectors):
     assert hnsw.nearest(vectors([])).count() == 0
 
 
+def test_search_with_repeated_ids(vectors):
+    rng = np.random.Generator(np.random.PCG64(9))
+    rows = [(i, rng.normal(0, 1, 6).astype("float32").tolist(), 0, 0) for i in range(400)]
+    rows += [(100, rows[7][1], 0, 0), (58, rows[100][1], 0, 0), (58, rows[9][1], 0, 0), (58, rows[58][1], 0, 0)]
+    best = {}
+    for q, x, *_ in rows:
+        for i, y, *_ in rows:
+            if q % 100 == 0 and i != q:
+                d = float(np.sqrt(((np.array(x, dtype="float64") - np.array(y, dtype="float64")) ** 2).sum()))
+                best[q, i] = min(d, best.get((q, i), d))
+    got = {}
+    for r in sorted(hnsw.nearest(vectors(rows)).collect(), key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q in (0, 100, 200, 300):
+        want = sorted((d, i) for (a, i), d in best.items() if a == q)[:10]
+        assert [(r, i) for r, i, _ in got[q]] == [(n, i) for n, (_, i) in enumerate(want, 1)]
+        assert [s for *_, s in got[q]] == pytest.approx([d for d, _ in want])
+
+
 def test_archives_round_trip(spark):
     rng = random.Random(6)
     big = "é" * 700

@@ -13,8 +13,8 @@ nearest candidates keep one that is nearer to the point than to any kept before.
 Equal vectors are indexed once, with the K + 1 smallest ids that hold them, which
 is all that a result of K can show. Null, empty, all-zero vectors, those of
 another length than most, and those with null or non-finite components take no
-part. A repeated vec_id counts as often as it stands there. Fewer candidates than
-K give fewer rows.
+part. Rows of one vec_id are one query and one candidate, at the least distance
+between any of them. Fewer candidates than K give fewer rows.
 """
 
 from __future__ import annotations
@@ -205,8 +205,8 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     rows = stored(usable(vectors, id_col, vector_col), "vectors")
     # distinct vectors with their k + 1 smallest ids; salted, so that no list holds a hot vector's ids
     smallest = lambda ids: F.slice(F.sort_array(ids), 1, k + 1)
-    salted = rows.groupBy("vector", F.pmod(F.xxhash64("vec_id"), F.lit(1009)).alias("salt")).agg(smallest(F.collect_list("vec_id")).alias("ids"))
-    distinct = stored(salted.groupBy("vector").agg(smallest(F.flatten(F.collect_list("ids"))).alias("ids")).withColumn("rep", F.col("ids")[0]), "distinct")
+    salted = rows.groupBy("vector", F.pmod(F.xxhash64("vec_id"), F.lit(1009)).alias("salt")).agg(smallest(F.collect_set("vec_id")).alias("ids"))
+    distinct = stored(salted.groupBy("vector").agg(smallest(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("ids")).withColumn("rep", F.col("ids")[0]), "distinct")
     count = distinct.count()
     shards = max(1, -(-count // SHARD))
     dealt = distinct.select(F.pmod(F.xxhash64("rep"), F.lit(shards)).alias("shard"), "rep", "vector")
@@ -215,8 +215,9 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     blocks = rows.where(F.col("vec_id") % every == 0).mapInArrow(_query_blocks, "queries binary, points binary")
     pairs = blocks.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), "queries", "points").join(graphs, "shard")
     hits = pairs.select("reps", "vectors", "layers", "queries", "points").mapInArrow(_search_shards(k), "query_id long, rep long, score double")
-    # the nearest k + 1 vectors hold the nearest k rows besides the query's own
-    close = hits.withColumn("n", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "rep"))).where(F.col("n") <= k + 1)
-    spread = (close.join(distinct.select("rep", "ids"), "rep").select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id != query_id"))
+    # several rows of one id are one query and one candidate: the nearest of them counts
+    found = hits.groupBy("query_id", "rep").agg(F.min("score").alias("score"))
+    spread = (found.join(distinct.select("rep", "ids"), "rep").select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id != query_id")
+              .groupBy("query_id", "vec_id").agg(F.min("score").alias("score")))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return spread.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -34,7 +34,8 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_COPIES = 2.0
 SEED = "mix-1"
-SLOTS = 4096
+SLOTS = 4096  # of a source's order, at least; SLOT_ROWS documents share one on average where there are more
+SLOT_ROWS = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -78,33 +79,36 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: floa
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", preference: str | None = None,
-        weights=WEIGHTS, share: float = SHARE, cap: float = MAX_COPIES, seed: str = SEED, pass_over: bool = False) -> DataFrame:
-    """One row per input row: doc_id, size, source_size, target, copies (0 .. cap), taken.
+        weights=WEIGHTS, share: float = SHARE, cap: float = MAX_COPIES, seed: str = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: doc_id, size, source_size, target, copies (0 .. cap), taken, and the columns of ``keep``.
 
-    ``preference``: a positive column that multiplies a document's inclusion odds (unequal probabilities within a source).
-    ``pass_over``: a document too long for what is left takes no words from those after it. The SQL statement counts its words all the same.
+    ``preference``: a positive column that multiplies a document's inclusion odds; without one its size does (longer
+    documents are likelier, as the target is one of words). A document is taken if that leaves the sum nearer to the
+    target; one too long for what is left is passed over and takes no words from those after it.
     """
+    # a row without id draws by its text
+    drawn = F.concat_ws("|", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))))
     sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
-                        (F.col(preference).cast("double") if preference else F.lit(1.0)).alias("preference"))
-    sized = stored(sized, "sizes")
+                        F.md5(drawn.cast("binary")).alias("draw"), *([F.col(preference).cast("double").alias("preference")] if preference else []),
+                        F.struct(F.lit(0), *keep).alias("kept"))  # under one name, as theirs may be any
+    sized = stored(sized if preference else sized.withColumn("preference", F.col("size").cast("double")), "sizes")
+    rows, usual = sized.where("size > 0").agg(F.count("*"), F.avg("preference")).first()
+    slots = max(SLOTS, rows // SLOT_ROWS)
     shares = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap), "targets")
     rate = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
     ranked = (sized.join(shares, sized["source"].eqNullSafe(shares["source"])).drop(shares["source"])
               .withColumn("whole", F.least(F.floor(rate + 1e-12), F.lit(cap)).cast("int"))
               .withColumn("odds", F.try_divide(rate - F.col("whole"), 1 - (rate - F.col("whole"))))
-              .withColumn("u", (F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.col("doc_id").cast("string"))), 1, 13), 16, 10).cast("double") + 0.5) / F.lit(2.0 ** 52))
+              .withColumn("u", (F.conv(F.substring("draw", 1, 13), 16, 10).cast("double") + 0.5) / F.lit(2.0 ** 52))
               .withColumn("x", F.try_divide(F.col("u"), (1 - F.col("u")) * F.coalesce("preference", F.lit(1.0)))))
-    # rank = x / odds, and a source's odds are one number: x / (1 + x) has the same order, spread over (0, 1)
-    slotted = (ranked.withColumn("place", F.coalesce(F.col("x") / (1 + F.col("x")), F.lit(1.0)))
-               .withColumn("slot", F.least(F.floor(F.col("place") * SLOTS), F.lit(SLOTS - 1)).cast("int")))
-    if pass_over:
-        told = _passing_over(slotted)
-        copies = F.when(F.col("size") > 0, F.col("whole") + F.col("more").cast("int")).otherwise(0)
-    else:
-        told, left = _ahead(slotted)
-        more = (F.coalesce("odds", F.lit(0.0)) > 0) & (left > 0) & (F.col("size") <= 2 * left)  # nearer to the target with it than without
-        copies = F.when(F.col("size") > 0, F.col("whole") + more.cast("int")).otherwise(0)
-    return told.select("doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+    # rank = x / odds, and a source's odds are one number. y = x times the usual preference, and y / (1 + y) has x's order and is spread over (0, 1)
+    spread = F.col("x") * F.lit(float(usual or 1.0))
+    slotted = (ranked.withColumn("place", F.coalesce("x", F.lit(float("inf"))))
+               .withColumn("slot", F.least(F.floor(F.coalesce(spread / (1 + spread), F.lit(1.0)) * slots), F.lit(slots - 1)).cast("int")))
+    told = _passing_over(slotted)
+    copies = F.when(F.col("size") > 0, F.col("whole") + F.col("more").cast("int")).otherwise(0)
+    return told.select("doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"),
+                       *[F.col("kept")[c].alias(c) for c in keep])
 
 
 def _ahead(slotted: DataFrame) -> tuple[DataFrame, Column]:
@@ -151,7 +155,7 @@ def _passing_over(slotted: DataFrame) -> DataFrame:
 
 
 ORACLE = r"""
-WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, source, coalesce(text, '') AS text, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CASE (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 WHEN 0 THEN 3.0 WHEN 1 THEN 1.0 ELSE 2.0 END::DOUBLE AS weight,
              source_size * 2.0::DOUBLE AS cap FROM s),
@@ -159,14 +163,18 @@ r AS (SELECT *, 1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER
              sum(weight) OVER (ORDER BY cap / weight ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open FROM w),
 l AS (SELECT arg_min(rest / open, cap / weight) FILTER (WHERE rest / open < cap / weight) AS level FROM r),
 t AS (SELECT source, source_size, least(cap, weight * level) AS target FROM w, l),
-u AS (SELECT doc_id, d.source, size, source_size, target, target / source_size AS rate,
-             (CAST(CAST('0x' || substr(md5('mix-1|' || doc_id), 1, 13) AS UBIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0::DOUBLE AS u
+u AS MATERIALIZED (SELECT doc_id, d.source, size, source_size, target, target / source_size AS rate, row_number() OVER () AS row,
+             (CAST(CAST('0x' || substr(md5('mix-1|' || coalesce(CAST(doc_id AS VARCHAR), md5(text))), 1, 13) AS UBIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0::DOUBLE AS u
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 f AS (SELECT *, least(floor(rate + 1e-12), 2.0) AS whole, rate - least(floor(rate + 1e-12), 2.0) AS p FROM u),
-o AS (SELECT *, CASE WHEN p > 0 THEN u / (1 - u) / (p / (1 - p)) END AS q FROM f),
-c AS (SELECT *, target - whole * source_size - coalesce(sum(size) OVER (PARTITION BY source ORDER BY q, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS free FROM o)
+o AS MATERIALIZED (SELECT row, coalesce(source, '') AS s, source IS NULL AS is_null, size, target - whole * source_size AS need,
+             row_number() OVER (PARTITION BY source ORDER BY u / ((1 - u) * size), doc_id, size) AS n FROM f WHERE size > 0 AND p > 0),
+g AS (SELECT s, is_null, CAST(0 AS BIGINT) AS row, CAST(0 AS BIGINT) AS n, min(need) AS free, false AS more FROM o GROUP BY s, is_null
+      UNION ALL
+      SELECT o.s, o.is_null, o.row, o.n, CASE WHEN free > 0 AND size <= 2 * free THEN free - size ELSE free END, free > 0 AND size <= 2 * free
+      FROM g JOIN o ON o.s = g.s AND o.is_null = g.is_null AND o.n = g.n + 1)
 SELECT doc_id, size, source_size, target,
-       CAST(whole + CASE WHEN p > 0 AND free > 0 AND size <= 2 * free THEN 1 ELSE 0 END AS INTEGER) AS copies,
-       CAST((whole + CASE WHEN p > 0 AND free > 0 AND size <= 2 * free THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
-FROM c
+       CAST(CASE WHEN size > 0 THEN whole + coalesce(more, false)::INT ELSE 0 END AS INTEGER) AS copies,
+       CAST(CASE WHEN size > 0 THEN (whole + coalesce(more, false)::INT) * size ELSE 0 END AS BIGINT) AS taken
+FROM f LEFT JOIN (SELECT row, more FROM g WHERE row > 0) AS taking ON taking.row = f.row
 """
