@@ -30,11 +30,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return known.join(stored(bad, "rejected"), row, "left_anti").select(*docs.columns)
 
 
+def _numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` written once with a number of its own for each row: decisions go by rows, as ids may be null or shared."""
+    row = fresh(docs, "_row")
+    return stored(docs.withColumn(row, F.monotonically_increasing_id()), name), row
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class; documents without id stay."""
-    classes = minhash.near_duplicates(docs)
-    gone = stored(classes.where("class_id <> doc_id").select("doc_id").distinct(), "duplicates")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each class: the one with the smallest id (without an id: last)."""
+    rows, row = _numbered(docs, "to-dedup")
+    classes = minhash.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias(row), "class_id")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(row))
+    stays = rows.select(row, "doc_id").join(classes, row).groupBy("class_id").agg(F.min(order)[row].alias(row)).select(row)
+    return rows.join(stored(stays, "unique"), row, "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +52,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: none, one or two rows."""
-    key, copies, copy = fresh(docs, "_id"), fresh(docs, "_copies"), fresh(docs, "_copy")
-    taken = mixing.mix(docs, pass_over=True).where("copies > 0").groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(copies))
-    return (docs.join(stored(taken, "copies"), F.col("doc_id").eqNullSafe(F.col(key)))
+    rows, row = _numbered(docs, "to-mix")
+    copies, copy = fresh(docs, "_copies"), fresh(docs, "_copy")
+    taken = mixing.mix(rows, keep=(row,)).where("copies > 0").select(row, F.col("copies").alias(copies))
+    return (rows.join(stored(taken, "copies"), row)
             .withColumn(copy, F.explode(F.sequence(F.lit(1), copies))).select(*docs.columns))
 
 
@@ -60,7 +69,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 STAGES = [("language_id", language_id), ("minhash_near_dedup", near_dedup), ("benchmark_decontamination", decontamination),
           ("source_mixing", source_mixing), ("token_output", token_output)]
 
-ORACLE_SQL = None  # the network, the sketches and the tokenizer have no SQL form; tests/llm holds a brute-force version
+ORACLE_SQL = None  # the network, the sketches and the tokenizer have no SQL form; tests/llm/test_pipeline.py holds a brute-force version
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
