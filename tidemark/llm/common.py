@@ -53,16 +53,29 @@ def worker_cache(name: str, make: Callable):
         holder = sys.modules["_corpus_worker_cache"] = types.ModuleType("_corpus_worker_cache")
         holder.items = {}
     if name not in holder.items:
-        holder.items.clear()  # a reused worker holds one operator's tables at a time
+        release()  # a reused worker holds one operator's tables at a time
         holder.items[name] = make()
+    else:
+        trim()
     return holder.items[name]
 
 
 def release() -> None:
-    """Free what an operator before left in this worker."""
+    """Free what an operator before left in this worker: its tables, and memory that the allocators keep for reuse."""
     holder = sys.modules.get("_corpus_worker_cache")
     if holder is not None:
         holder.items.clear()
+    trim()
+
+
+def trim() -> None:
+    """Give unused memory back to the system; a reused worker otherwise holds the peak of every stage it has seen."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    free = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if free is not None:
+        free(0)
 
 
 def map_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], Iterator[pa.RecordBatch]],

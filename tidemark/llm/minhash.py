@@ -174,9 +174,9 @@ def _log_a(weight, r, log_c, beta):
     return log_c - r * (level - beta + np.float32(1))
 
 
-def sketch(found: np.ndarray, weights: np.ndarray) -> np.ndarray:
+def sketch(found: np.ndarray, weights: np.ndarray, tables) -> np.ndarray:
     """HASHES samples (64-bit) of a weighted set; similar sets agree in a share near their similarity."""
-    r, log_c, beta, usual = worker_cache("icws", _variates)
+    r, log_c, beta, usual = tables
     keep = weights > 0
     if not keep.any():  # nothing but shingles of every text
         keep, weights = np.ones_like(keep), np.ones_like(weights)
@@ -210,6 +210,7 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
 
 def _sketcher(levels):
     def run(batches):
+        tables = worker_cache("icws", _variates)
         for batch in batches:
             texts = batch.column(1)
             for start, end in text_slices(texts):
@@ -220,9 +221,9 @@ def _sketcher(levels):
                         continue
                     found, weights = features(words, levels.value)
                     usual = np.full_like(weights, idf(np.zeros(1))[0])
-                    sketches = [sketch(found, weights)]
+                    sketches = [sketch(found, weights, tables)]
                     if (weights != usual).any():
-                        sketches.append(sketch(found, usual))
+                        sketches.append(sketch(found, usual, tables))
                     content.append(_digest(words))
                     bands.append(np.concatenate([band_keys(samples) for samples in sketches]))
                     short.append((np.concatenate(sketches) >> np.uint64(32)).astype("<u4").tobytes())

@@ -15,7 +15,7 @@ import unicodedata
 
 import numpy as np
 
-KEPT_BYTES = 96 << 20  # a worker's table: texts, ids and ENTRY bytes a piece
+KEPT_BYTES = 64 << 20  # a worker's table: texts, ids and ENTRY bytes a piece
 ENTRY = 180
 JOINED = 2048
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
