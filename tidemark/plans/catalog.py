@@ -311,19 +311,21 @@ def stored_version(spark: SparkSession, sf_dir: str, version: int) -> SNAP.Snaps
     k = (spark.sparkContext.applicationId, sf_dir, "snapshots", version)
     if k not in _STORES:
         if version == 0:
-            _STORES[k] = SNAP.create(enriched(spark, sf_dir), scratch_path(spark, "snapshots"))
+            # the puts add up to a row a tick to the bars
+            buckets = SNAP.buckets_for(read_table(spark, sf_dir, "events", ["event_id"]).count())
+            _STORES[k] = SNAP.create(enriched(spark, sf_dir), scratch_path(spark, "snapshots"), buckets=buckets)
         else:
             base = stored_version(spark, sf_dir, version - 1)
-            _STORES[k] = SNAP.commit(base, _change(spark, sf_dir, base))
+            _STORES[k] = SNAP.commit(base, _change(spark, sf_dir, base, stored=True))
     return _STORES[k]
 
 
-def _change(spark: SparkSession, sf_dir: str, base: SNAP.Snapshot) -> DataFrame:
+def _change(spark: SparkSession, sf_dir: str, base: SNAP.Snapshot, stored: bool = False) -> DataFrame:
     """The rows after ``base``'s next change, not yet stored."""
     if base.version == 0:
-        return base.put(bench_puts(spark, sf_dir))
+        return base.put(bench_puts(spark, sf_dir), stored=stored)
     updates = bench_updates(spark, sf_dir)
-    return base.update(updates, "pct_change") if base.version == 1 else base.delete(updates)
+    return base.update(updates, "pct_change", stored=stored) if base.version == 1 else base.delete(updates, stored=stored)
 
 
 def stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:

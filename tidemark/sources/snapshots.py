@@ -37,6 +37,7 @@ from tidemark.sources.keyed_store import from_sink_types, to_sink_types
 
 GROUPS = 8
 BUCKETS = 8
+BUCKET_ROWS = 250_000
 BLOOM = {"parquet.bloom.filter.enabled#symbol": "true"}
 NAME = re.compile(r"v=(\d{10})\.g(\d+)\.b(\d+)$")
 
@@ -82,25 +83,30 @@ class Snapshot:
         return self.symbol(symbol).where(F.col("date") == date)
 
     # --- changes: the rows of the version after this one -------------------------------
-    def put(self, changes: DataFrame, seq: str = "seq") -> DataFrame:
+    # (with ``stored`` in the stored types, so that a commit converts the changes alone)
+    def put(self, changes: DataFrame, seq: str = "seq", stored: bool = False) -> DataFrame:
         """Full records replace or add rows; the highest ``seq`` of a key wins."""
-        return self._merged(latest_per_key(changes.select(*ENRICHED_COLUMNS, seq), seq), [c for c in ENRICHED_COLUMNS if c not in KEY])
+        return self._merged(latest_per_key(changes.select(*ENRICHED_COLUMNS, seq), seq), [c for c in ENRICHED_COLUMNS if c not in KEY], stored)
 
-    def update(self, updates: DataFrame, column: str, seq: str = "seq") -> DataFrame:
+    def update(self, updates: DataFrame, column: str, seq: str = "seq", stored: bool = False) -> DataFrame:
         """SET ``column`` of each key; missing keys become rows with only that column."""
-        return self._merged(latest_per_key(updates.select(*KEY, column, seq), seq), [column])
+        return self._merged(latest_per_key(updates.select(*KEY, column, seq), seq), [column], stored)
 
-    def delete(self, keys: DataFrame) -> DataFrame:
+    def delete(self, keys: DataFrame, stored: bool = False) -> DataFrame:
         """Without the rows of ``keys``; unknown keys do nothing."""
         gone = self._beside(keys.select(*KEY).distinct())
-        return self.frame().join(gone.hint("merge"), KEY, "left_anti")  # by buckets; a broadcast would scan files as they come
+        return self._rows(stored).join(gone.hint("merge"), KEY, "left_anti")  # by buckets; a broadcast would scan files as they come
 
     def delete_prefix(self, prefix: str, symbols: list[str] | None = None) -> DataFrame:
         return self.frame().where(~F.coalesce(prefix_predicate(prefix, symbols), F.lit(False)))
 
-    def _merged(self, latest: DataFrame, put: list[str]) -> DataFrame:
+    def _rows(self, stored: bool) -> DataFrame:
+        return self.stored() if stored else self.frame()
+
+    def _merged(self, latest: DataFrame, put: list[str], stored: bool) -> DataFrame:
+        latest = to_sink_types(latest) if stored else latest
         new = self._beside(latest.select(*KEY, F.struct(*put).alias("_new")))
-        return (self.frame().join(new, KEY, "full_outer")
+        return (self._rows(stored).join(new, KEY, "full_outer")
                 .select(*[F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in put else F.col(c)
                           for c in ENRICHED_COLUMNS]))
 
@@ -115,6 +121,11 @@ def group_of(symbol, groups: int):
     return F.pmod(F.hash(symbol), F.lit(groups))
 
 
+def buckets_for(rows: int) -> int:
+    """Buckets for a table that grows to ``rows`` rows, so that a task's share stays the same."""
+    return max(BUCKETS, -(-rows // BUCKET_ROWS))
+
+
 def _name(path: str) -> str:
     return "tidemark_" + hashlib.sha256(path.encode()).hexdigest()[:20]
 
@@ -122,8 +133,8 @@ def _name(path: str) -> str:
 def _write(df: DataFrame, path: str, buckets: int, partitions: list[str]) -> None:
     spark = df.sparkSession
     spark.sql(f"DROP TABLE IF EXISTS {_name(path)}")
-    writer = df.write.mode("overwrite").options(**BLOOM).option("path", path).bucketBy(buckets, *KEY).sortBy(*KEY)
-    (writer.partitionBy(*partitions) if partitions else writer).saveAsTable(_name(path))
+    writer = df.write.mode("overwrite").option("path", path).bucketBy(buckets, *KEY).sortBy(*KEY)
+    (writer.options(**BLOOM).partitionBy(*partitions) if partitions else writer).saveAsTable(_name(path))
 
 
 def _bucketed(snapshot: Snapshot) -> DataFrame:
@@ -152,7 +163,7 @@ def at(spark: SparkSession, root: str, version: int) -> Snapshot:
 
 
 def create(df: DataFrame, root: str, groups: int = GROUPS, buckets: int = BUCKETS) -> Snapshot:
-    """Version 0. ``groups`` x ``buckets`` files: choose them by bytes (about 256 MB a file)."""
+    """Version 0. ``groups`` x ``buckets`` files: choose them by rows, as a task sorts and joins one bucket (see ``buckets_for``)."""
     # a task holds one bucket, so there is one file a folder and bucket
     return _commit(df.repartition(buckets, *KEY), Snapshot(df.sparkSession, root, 0, groups, buckets))
 
