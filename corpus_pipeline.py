@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept,
 and returns the columns of ``documents``; the last returns what the token files
-hold. ``run`` writes each stage's result as Parquet in the shared folder and rereads it.
+hold. What a stage wrote on its way and its result does not read goes at its end. ``run`` writes each stage's result as Parquet in the shared folder and rereads it.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, language, minhash, mixing, token_files
-from tidemark.llm.common import fresh, stored, table
+from tidemark.llm.common import fresh, passing, stored, table
 from tidemark.session import scratch_path
 
 MIN_SCORE = 0.4  # a clean document of any length scores well above
@@ -33,16 +33,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def _numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``docs`` written once with a number of its own for each row: decisions go by rows, as ids may be null or shared."""
     row = fresh(docs, "_row")
-    return stored(docs.withColumn(row, F.monotonically_increasing_id()), name), row
+    return stored(docs.withColumn(row, F.monotonically_increasing_id()), name, compression="zstd"), row
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class: the one with the smallest id (without an id: last)."""
     rows, row = _numbered(docs, "to-dedup")
-    classes = minhash.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias(row), "class_id")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(row))
-    stays = rows.select(row, "doc_id").join(classes, row).groupBy("class_id").agg(F.min(order)[row].alias(row)).select(row)
-    return rows.join(stored(stays, "unique"), row, "left_semi").select(*docs.columns)
+    with passing(spark):
+        classes = minhash.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias(row), "class_id")
+        stays = rows.select(row, "doc_id").join(classes, row).groupBy("class_id").agg(F.min(order)[row].alias(row)).select(row)
+        stays = stored(stays, "unique", keep=True)
+    return rows.join(stays, row, "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +56,10 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Each document as often as the mix takes it: none, one or two rows."""
     rows, row = _numbered(docs, "to-mix")
     copies, copy = fresh(docs, "_copies"), fresh(docs, "_copy")
-    taken = mixing.mix(rows, keep=(row,)).where("copies > 0").select(row, F.col("copies").alias(copies))
-    return (rows.join(stored(taken, "copies"), row)
+    with passing(spark):
+        taken = mixing.mix(rows, keep=(row,)).where("copies > 0").select(row, F.col("copies").alias(copies))
+        taken = stored(taken, "copies", keep=True)
+    return (rows.join(taken, row)
             .withColumn(copy, F.explode(F.sequence(F.lit(1), copies))).select(*docs.columns))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +18,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """What ``stored`` writes inside is deleted at the end, but for frames stored with ``keep``: nothing else may be read later."""
+    made: list[str] = []
+    token = _passing.set(made)
+    try:
+        yield
+    finally:
+        _passing.reset(token)
+        for path in made:
+            discard(spark, path)
+
+
+def stored(df: DataFrame, name: str, keep: bool = False, compression: str | None = None) -> DataFrame:
     """Write ``df`` once under the shared checkpoint folder and read it back.
 
     Cuts the lineage at files every executor can reread, so a lost executor
@@ -24,7 +42,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    made = _passing.get()
+    if made is not None and not keep:
+        made.append(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
