@@ -8,6 +8,7 @@ hold. What a stage wrote on its way and its result does not read goes at its end
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,21 +31,40 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return known.join(stored(bad, "rejected"), row, "left_anti").select(*docs.columns)
 
 
-def _numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """``docs`` written once with a number of its own for each row: decisions go by rows, as ids may be null or shared."""
-    row = fresh(docs, "_row")
-    return stored(docs.withColumn(row, F.monotonically_increasing_id()), name, compression="zstd"), row
+def _placed(docs: DataFrame, row: str, place: str) -> DataFrame | None:
+    """``docs`` with a number of each row, and its place in the order of files and rows, if they come from files that tell these."""
+    if "_metadata" in docs.columns:
+        return None
+    try:
+        path, index = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+        placed = docs.withColumns({row: F.xxhash64(path, index), place: F.struct(path, index)})
+    except AnalysisException:
+        return None
+    return None if placed.groupBy(row).count().where("count > 1").head(1) else placed
+
+
+def _numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str, str]:
+    """``docs`` with a number of its own for each row, and a place that settles ties: decisions go by rows, as ids may be null or shared.
+
+    Rows of Parquet files are told by their place in these, so nothing is copied. Others, and numbers that come twice, make a copy with numbers.
+    """
+    row, place = fresh(docs, "_row"), fresh(docs, "_place")
+    rows = _placed(docs, row, place)
+    if rows is None:
+        rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), name, compression="zstd").withColumn(place, F.col(row))
+    return rows, row, place
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class: the one with the smallest id (without an id: last)."""
-    rows, row = _numbered(docs, "to-dedup")
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(row))
+    rows, row, place = _numbered(docs, "to-dedup")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(place), F.col(row))
     with passing(spark):
         classes = minhash.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias(row), "class_id")
-        stays = rows.select(row, "doc_id").join(classes, row).groupBy("class_id").agg(F.min(order)[row].alias(row)).select(row)
+        stays = rows.select(row, "doc_id", place).join(classes, row).groupBy("class_id").agg(F.min(order)[row].alias(row)).select(row)
         stays = stored(stays, "unique", keep=True)
-    return rows.join(stays, row, "left_semi").select(*docs.columns)
+    # the same join at every size: the rows that stay are a share of the corpus, so no broadcast
+    return rows.join(stays.hint("merge"), row, "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,12 +74,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: none, one or two rows."""
-    rows, row = _numbered(docs, "to-mix")
+    rows, row, _ = _numbered(docs, "to-mix")
     copies, copy = fresh(docs, "_copies"), fresh(docs, "_copy")
     with passing(spark):
         taken = mixing.mix(rows, keep=(row,)).where("copies > 0").select(row, F.col("copies").alias(copies))
         taken = stored(taken, "copies", keep=True)
-    return (rows.join(taken, row)
+    return (rows.join(taken.hint("merge"), row)  # as in near_dedup
             .withColumn(copy, F.explode(F.sequence(F.lit(1), copies))).select(*docs.columns))
 
 

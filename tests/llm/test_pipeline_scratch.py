@@ -44,3 +44,23 @@ def test_stages_leave_what_their_results_read(spark, own_folder):
         out = stage[name](spark, docs, "")
         assert _folders(own_folder) - before == _read(out) - _read(docs) and len(_read(out)) == 2, name
         assert out.count() > 0 and out.columns == docs.columns
+
+
+def test_stages_copy_no_texts(spark, own_folder):
+    """Rows of stored tables are told by their place in the files; frames that repeat rows, or have no files, still have one number a row."""
+    rows = spark.range(40).select(F.col("id").alias("doc_id"), F.concat(F.lit("the stone walks under the bread "), F.col("id") % 10).alias("text"),
+                                  F.lit("en").alias("lang"), F.concat(F.lit("s"), F.col("id") % 2).alias("source"))
+    docs = stored(rows, "t-docs")
+    stage = dict(corpus_pipeline.STAGES)
+    kept = {}
+    for name in ("minhash_near_dedup", "source_mixing"):
+        before = _folders(own_folder)
+        out = stage[name](spark, docs, "")
+        kept[name] = sorted(map(tuple, out.collect()))
+        assert not [f for f in _folders(own_folder) - before if "text" in spark.read.parquet(f).columns], name
+        assert sorted(map(tuple, stage[name](spark, rows, "").collect())) == kept[name]
+    twice = docs.withColumn("n", F.explode(F.array(F.lit(1), F.lit(2))))
+    for df in (docs.unionAll(docs).withColumn("n", F.lit(1)), twice):
+        numbered, row, _ = corpus_pipeline._numbered(df, "t-rows")
+        assert numbered.select(row).distinct().count() == 80
+        assert sorted(r[0] for r in stage["minhash_near_dedup"](spark, df, "").collect()) == [r[0] for r in kept["minhash_near_dedup"]]
