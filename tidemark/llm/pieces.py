@@ -16,6 +16,7 @@ import unicodedata
 import numpy as np
 
 KEPT_BYTES = 64 << 20  # a worker's table: texts, ids and ENTRY bytes a piece
+IDS_BYTES = 256 << 20  # the same of a table of ids; a piece met again after the table was emptied is encoded again
 ENTRY = 180
 JOINED = 2048
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
@@ -105,7 +106,7 @@ class PieceIds:
         return pieces[:1] + [p[1:] if p[0] == " " and p[1:].split() == [p[1:]] else p for p in pieces[1:]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if self.size > KEPT_BYTES:
+        if self.size > IDS_BYTES:
             self.kept, self.first, self.size = {}, {}, 0
         plans, missing, starts = [], set(), {}
         for text in texts:
